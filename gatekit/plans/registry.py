@@ -323,3 +323,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_ORACLE)
+
+
+from . import io_queries  # noqa: E402,F401  (registers the I/O, store, stream and injection queries)

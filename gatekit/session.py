@@ -13,6 +13,8 @@ CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # partition values (run ids, buckets) stay strings when read back
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
@@ -44,10 +46,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this is set by whoever runs the job and is read as is. Only
     when it is unset (local tests) do we pick a fresh temporary folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or _sc_checkpoint_dir(spark)
+    sc_dir = _sc_checkpoint_dir(spark)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc_dir
     if not d:
         d = tempfile.mkdtemp(prefix="gatekit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
+    if not sc_dir:
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
