@@ -20,12 +20,23 @@ def _lit_array(names) -> Column:
     return F.array(*[F.lit(n) for n in names]) if names else _empty()
 
 
-def _drift_aggs(spec: GateSpec) -> list[Column]:
-    """Presence of each contract column and the set of rescued keys, as aggregates."""
-    aggs = [F.max(F.col(c).isNotNull()).alias(f"_has_{c}") for c in spec.contract_names]
-    aggs.append(F.array_distinct(F.flatten(F.collect_set(rescued_keys(spec))))
-                .alias("_rescued_keys"))
-    return aggs
+def _presence_aggs(spec: GateSpec) -> list[Column]:
+    """Whether each contract column holds a value anywhere in the batch
+    (declarative max, so the aggregate stays a codegen'd HashAggregate)."""
+    return [F.max(F.col(c).isNotNull()).alias(f"_has_{c}") for c in spec.contract_names]
+
+
+def rescued_key_sets(bronze: DataFrame, spec: GateSpec) -> DataFrame:
+    """(batch, _rescued_keys): distinct lower-cased keys of the rescue JSON.
+
+    Only rescued rows are read (a pushed-down IS NOT NULL on a stored bronze);
+    explode + distinct are partially aggregated, so each task ships at most
+    one row per (batch, key) name.
+    """
+    keys = (bronze.filter(F.col(spec.rescue_col).isNotNull())
+            .select(spec.batch_col, F.explode(rescued_keys(spec)).alias("_k"))
+            .distinct())
+    return keys.groupBy(spec.batch_col).agg(F.collect_set("_k").alias("_rescued_keys"))
 
 
 def _drift_columns(spec: GateSpec) -> list[Column]:
@@ -40,15 +51,24 @@ def _drift_columns(spec: GateSpec) -> list[Column]:
     return [present.alias("present"), unexpected.alias("unexpected"), missing.alias("missing")]
 
 
+def _with_drift(agg: DataFrame, bronze: DataFrame, spec: GateSpec) -> DataFrame:
+    """Join the per-batch key sets (one tiny row per batch) and derive the arrays."""
+    out = agg.join(rescued_key_sets(bronze, spec), spec.batch_col, "left")
+    return out.select("*", *_drift_columns(spec)).drop(
+        *[f"_has_{c}" for c in spec.contract_names], "_rescued_keys")
+
+
 def bronze_probe(bronze: DataFrame, spec: GateSpec, check_ts: Column | None = None,
                  with_drift: bool = True) -> DataFrame:
     """One row per batch: total, null_<required>, rescued, distinct_keys, late,
     max_event_ts, check_ts, lag_hours (+ present/unexpected/missing).
 
     ``check_ts`` is the moment the batch is checked (an ``as_of`` literal or a
-    column over the batch id); freshness is measured against it.
+    column over the batch id); freshness is measured against it. The event
+    time is parsed once per row, in the projection under the aggregate.
     """
-    ts = parse_event(spec)
+    src = bronze.withColumn("_ts", parse_event(spec))
+    ts = F.col("_ts")
     aggs = [F.count(F.lit(1)).alias("total")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in spec.required]
     aggs += [
@@ -58,11 +78,10 @@ def bronze_probe(bronze: DataFrame, spec: GateSpec, check_ts: Column | None = No
         F.max(ts).alias("max_event_ts"),
     ]
     if with_drift:
-        aggs += _drift_aggs(spec)
-    out = bronze.groupBy(spec.batch_col).agg(*aggs)
+        aggs += _presence_aggs(spec)
+    out = src.groupBy(spec.batch_col).agg(*aggs)
     if with_drift:
-        out = out.select("*", *_drift_columns(spec)).drop(
-            *[f"_has_{c}" for c in spec.contract_names], "_rescued_keys")
+        out = _with_drift(out, bronze, spec)
     check_ts = F.lit(None).cast(spec.ts_type) if check_ts is None else check_ts
     return (out.withColumn("check_ts", check_ts.cast(spec.ts_type))
                .withColumn("lag_hours", lag_hours(F.col("max_event_ts"), F.col("check_ts"))))
@@ -71,18 +90,22 @@ def bronze_probe(bronze: DataFrame, spec: GateSpec, check_ts: Column | None = No
 def column_drift(bronze: DataFrame, spec: GateSpec) -> DataFrame:
     """Per batch: present keys, unexpected = present - contract - meta,
     missing = contract - present (lower-cased, sorted)."""
-    return (bronze.groupBy(spec.batch_col).agg(*_drift_aggs(spec))
-            .select(spec.batch_col, *_drift_columns(spec)))
+    agg = bronze.groupBy(spec.batch_col).agg(*_presence_aggs(spec))
+    return _with_drift(agg, bronze, spec).select(spec.batch_col, "present", "unexpected",
+                                                 "missing")
 
 
 def column_drift_raw(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> DataFrame:
     """Same as :func:`column_drift` but from raw JSON text, where a key that is
-    present with an explicit null still counts as present."""
-    keys = F.transform(F.map_keys(F.from_json(F.col(value_col), "map<string,string>")),
-                       lambda k: F.lower(k))
+    present with an explicit null still counts as present. Key sets are
+    collected first (partial aggregation keeps one copy per distinct set) and
+    lower-cased afterwards, on the one row per batch."""
+    keys = F.map_keys(F.from_json(F.col(value_col), "map<string,string>"))
     contract = [c.lower() for c in spec.contract_names]
-    present = F.array_sort(F.array_distinct(F.flatten(F.collect_set(keys))))
-    return (raw.groupBy(spec.batch_col).agg(F.coalesce(present, _empty()).alias("present"))
+    agg = raw.groupBy(spec.batch_col).agg(F.collect_set(keys).alias("_sets"))
+    present = F.array_sort(F.array_distinct(F.transform(
+        F.coalesce(F.flatten(F.col("_sets")), _empty()), lambda k: F.lower(k))))
+    return (agg.select(spec.batch_col, present.alias("present"))
             .select(spec.batch_col, "present",
                     F.array_sort(F.array_except(F.array_except("present", _lit_array(contract)),
                                                 _lit_array([m.lower() for m in spec.meta])))

@@ -15,7 +15,8 @@ from ..operators.evaluate import evaluate_all, freshness_metric
 from ..operators.gate import quarantine_rows
 from ..operators.gold import gold_daily, gold_region_category
 from ..operators.probe import bronze_probe, silver_freshness, with_trailing_avg
-from ..sources.testbind import AS_OF, N_BATCHES, SALES_NTZ, batch_check_ts, sales_bronze
+from ..sources.testbind import (AS_OF, N_BATCHES, SALES_NTZ, batch_check_ts,
+                                stored_sales_bronze)
 
 SILVER_CHECK = "2002-01-01 04:00:00"   # as_of + (N_BATCHES - 1) hours
 LAST_RUN = str(N_BATCHES - 1)
@@ -42,7 +43,7 @@ class SalesRun:
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return sales_bronze(self.spark, self.sf_dir)
+        return stored_sales_bronze(self.spark, self.sf_dir)
 
     @property
     def as_of(self):

@@ -77,3 +77,9 @@ def ensure_local_parent(path: str) -> None:
     p = to_local(path)
     if "://" not in p:
         os.makedirs(os.path.dirname(p) or ".", exist_ok=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -62,11 +62,18 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
             .select("value", F.col("_metadata.file_path").alias("_source_file")))
 
 
-def _mismatch(spec: GateSpec, k: Column, v: Column) -> Column:
-    """True when a contract key holds text that does not cast to its type."""
-    terms = [(k == F.lit(f.name)) & v.try_cast(f.dataType).isNull()
-             for f in spec.contract.fields if not isinstance(f.dataType, T.StringType)]
-    return reduce(lambda a, b: a | b, terms, F.lit(False))
+def rescued_key_list(spec: GateSpec, m: Column) -> Column:
+    """Keys to rescue from the parsed map, found without a lambda: keys outside
+    the contract, plus typed contract keys whose text does not cast."""
+    names = F.array(*[F.lit(c) for c in spec.contract_names])
+    extra = F.array_except(F.map_keys(m), names)
+    typed = [f for f in spec.contract.fields if not isinstance(f.dataType, T.StringType)]
+    if not typed:
+        return extra
+    bad = F.array_compact(F.array(*[
+        F.when(m[f.name].isNotNull() & m[f.name].try_cast(f.dataType).isNull(), F.lit(f.name))
+        for f in typed]))
+    return F.array_union(extra, bad)
 
 
 def rescue_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> DataFrame:
@@ -75,18 +82,19 @@ def rescue_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> Da
 
     Rescued = keys outside the contract, plus contract keys whose text does not
     cast to the contract type; a line that is not a JSON object is kept whole
-    under ``_corrupt_record``.
+    under ``_corrupt_record``. The line is parsed once; the rescued map is only
+    built (one small lambda) on the rows that have something to rescue.
     """
     m = F.col("_m")
-    names = F.array(*[F.lit(c) for c in spec.contract_names])
-    rescued = F.map_filter(m, lambda k, v: ~F.array_contains(names, k)
-                           | (v.isNotNull() & _mismatch(spec, k, v)))
+    keys = F.col("_rk")
+    rescued = F.map_from_arrays(keys, F.transform(keys, lambda k: m[k]))
     resc = (F.when(m.isNull() & (F.trim(F.col(value_col)) != ""),
                    F.to_json(F.create_map(F.lit(CORRUPT_KEY), F.col(value_col))))
-            .when(F.size(rescued) > 0, F.to_json(rescued)))
+            .when(F.size(keys) > 0, F.to_json(rescued)))
     typed = [m[f.name].try_cast(f.dataType).alias(f.name) for f in spec.contract.fields]
     keep = [c for c in raw.columns if c != value_col]
-    return (raw.withColumn("_m", F.from_json(F.col(value_col), "map<string,string>"))
+    parsed = raw.withColumn("_m", F.from_json(F.col(value_col), "map<string,string>"))
+    return (parsed.withColumn("_rk", rescued_key_list(spec, m))
             .select(*typed, resc.alias(spec.rescue_col), *keep))
 
 
