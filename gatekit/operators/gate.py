@@ -24,8 +24,13 @@ def latest_batch(bronze: DataFrame, spec: GateSpec) -> DataFrame:
 
 
 def slice_latest(bronze: DataFrame, spec: GateSpec) -> DataFrame:
-    """Rows of the newest batch, found without collecting anything to the driver."""
-    return bronze.join(latest_batch(bronze, spec), spec.batch_col, "left_semi")
+    """Rows of the newest batch, found without collecting anything to the driver.
+
+    The batch id is a scalar subquery, so on a table partitioned by batch it
+    becomes a partition filter: only the newest batch's files are read.
+    """
+    latest = latest_batch(bronze, spec).scalar()
+    return bronze.filter(F.col(spec.batch_col) == latest)
 
 
 def bad_rows(batch: DataFrame, spec: GateSpec) -> DataFrame:

@@ -75,8 +75,8 @@ class Store:
         """MERGE by key: matched rows are replaced whole, unmatched inserted.
 
         ``src`` must hold one row per key. Only the buckets that ``src``
-        touches are read (the set of touched buckets has at most B rows, so
-        it is broadcast) and rewritten with dynamic partition overwrite. The
+        touches are read (their set, at most B ids, filters the target's
+        partitions) and rewritten with dynamic partition overwrite. The
         source is checkpointed to the shared checkpoint folder first, so it
         is computed once and a lost executor does not recompute the lineage.
         """
@@ -85,8 +85,10 @@ class Store:
             self.append_run(table, src_b, (BUCKET,))
             return
         tgt = self.read(table)
-        touched = F.broadcast(src_b.select(BUCKET).distinct())
-        kept = (tgt.join(touched, BUCKET, "left_semi")
+        # the touched set (<= B ids) as a scalar subquery -> a partition filter:
+        # untouched buckets are never listed or read
+        touched = src_b.agg(F.collect_set(BUCKET)).scalar()
+        kept = (tgt.filter(F.array_contains(touched, F.col(BUCKET)))
                    .join(src_b.select(key), key, "left_anti"))
         out = kept.unionByName(src_b, allowMissingColumns=True)
         # stage first: the touched buckets are deleted when the write commits
