@@ -58,6 +58,12 @@ def _with_drift(agg: DataFrame, bronze: DataFrame, spec: GateSpec) -> DataFrame:
         *[f"_has_{c}" for c in spec.contract_names], "_rescued_keys")
 
 
+def _distinct(spec: GateSpec) -> Column:
+    if spec.distinct_rsd is None:
+        return F.count_distinct(F.col(spec.key))
+    return F.approx_count_distinct(F.col(spec.key), spec.distinct_rsd)
+
+
 def bronze_probe(bronze: DataFrame, spec: GateSpec, check_ts: Column | None = None,
                  with_drift: bool = True) -> DataFrame:
     """One row per batch: total, null_<required>, rescued, distinct_keys, late,
@@ -73,7 +79,7 @@ def bronze_probe(bronze: DataFrame, spec: GateSpec, check_ts: Column | None = No
     aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in spec.required]
     aggs += [
         F.count_if(F.col(spec.rescue_col).isNotNull()).alias("rescued"),
-        F.count_distinct(F.col(spec.key)).alias("distinct_keys"),
+        _distinct(spec).alias("distinct_keys"),
         F.count_if(F.col(spec.event_col).isNotNull() & is_late(spec, ts)).alias("late"),
         F.max(ts).alias("max_event_ts"),
     ]

@@ -461,3 +461,19 @@ def _inject_batch(spark, d):
 
 
 register("inject_batch")(_inject_batch)
+
+
+# --------------------------------------------------------------------------- #
+# the whole gate, one run over a landing of events
+# --------------------------------------------------------------------------- #
+def _run_gate(spark, d):
+    from .medallion import run_gate
+    store = Store(spark, scratch_dir(spark, "store"))
+    return run_gate(spark, _landing(spark, d), store, E, RUN, EVENTS_AS_OF)
+
+
+register("run_gate", """
+SELECT 'bronze' AS table_name, count(*) AS row_count FROM events
+UNION ALL SELECT 'quarantine', count_if(event_id % 10 IN (3, 5, 7, 9)) FROM events
+UNION ALL SELECT 'silver', count_if(event_id % 10 IN (0, 1, 2, 4, 6, 8)) FROM events
+UNION ALL SELECT 'metrics', 10""")(_run_gate)

@@ -20,6 +20,7 @@ from ..sources.store import Store
 from ..spec import GateSpec
 
 BRONZE, QUARANTINE, SILVER, METRICS = "bronze", "quarantine", "silver", "metrics"
+GOLD_TABLE = "gold_daily_sales"
 
 GoldFn = Callable[[DataFrame, GateSpec, object], dict[str, DataFrame]]
 
@@ -54,6 +55,11 @@ def gate_raw(spark: SparkSession, raw: DataFrame, store: Store, spec: GateSpec,
     if gold is not None:
         for name, df in gold(silver, spec, as_of_c).items():
             store.replace(name, df)
+        # the gold refresh logs its own freshness row (layer gold), as the
+        # notebook path does, with the real run id
+        fresh = silver_freshness(store.read(SILVER).drop("_bucket"), spec, as_of_c)
+        store.append_run(METRICS, freshness_metric(fresh, spec, run, as_of_c, "gold",
+                                                   GOLD_TABLE), ("run_id", "layer"))
 
 
 def run_gate(spark: SparkSession, landing: str, store: Store, spec: GateSpec, run_id: str,

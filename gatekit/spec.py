@@ -84,6 +84,9 @@ class GateSpec:
     late_hours: float = 24.0
     duplicate_tolerance: int = 0
     rowcount_deviation: float = 0.5
+    # exact distinct keys by default; a relative error (e.g. 0.01) switches the
+    # duplicate probe to approx_count_distinct for very large batches
+    distinct_rsd: float | None = None
     # extra tie-break columns (beyond the conformed output) for dedup
     extra_order: tuple[str, ...] = field(default_factory=tuple)
 
