@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.rules import rule_duplicate, rule_row_count
 from ..operators import inject as INJ
-from ..operators.conform import build_silver
-from ..operators.probe import bronze_probe, column_drift_raw, with_trailing_avg
+from ..operators.probe import column_drift_raw, with_trailing_avg
 from ..session import scratch_dir
-from ..sources.events import CUT, EPOCH, EVENTS, EVENTS_AS_OF, event_day, events, events_json
+from ..sources.events import EPOCH, EVENTS, EVENTS_AS_OF, event_day, events, events_json
 from ..sources.landing import (ingest_batch, read_landing, render_json, rescue_drift,
                                stamp_lineage, write_jsonl)
 from ..sources.store import BUCKET, Store, table_counts
@@ -418,7 +417,7 @@ FROM x""")(_inject_drift)
 _DUP_HIT = f"({_roll_sql('o_orderkey', 104729, 7)} < {INJ.per_mille(INJ.DUP_SHARE * RATE)})"
 
 register("inject_duplicates", f"""
-SELECT o_orderkey, o_custkey, unnest(generate_series(1, CASE WHEN {_DUP_HIT} THEN 2 ELSE 1 END)) AS _copy,
+SELECT o_orderkey, o_custkey, CAST(unnest(generate_series(1, CASE WHEN {_DUP_HIT} THEN 2 ELSE 1 END)) AS INTEGER) AS _copy,
   {_DUP_HIT} AS _dup
 FROM orders""")(
     lambda spark, d: INJ.inject_duplicates(table(spark, d, "orders").select("o_orderkey", "o_custkey"),
@@ -441,8 +440,8 @@ register("injection_stats", f"""
 WITH x AS (SELECT {EV_DAY} AS _batch_id, {_NULL_HIT} AS n, {_LATE_HIT} AS l, {_DRIFT} AS dr,
                   {_DUP_HIT_EV} AS dup FROM events)
 SELECT _batch_id, CAST(sum(CASE WHEN dup THEN 2 ELSE 1 END) AS BIGINT) AS rows,
-  count_if(n) AS nulls, count_if(l) AS late, count_if(dup) AS duplicates,
-  count_if(dr IS NOT NULL) AS schema_drift, count_if(NOT n AND NOT l) AS clean
+  CAST(count_if(n) AS BIGINT) AS nulls, CAST(count_if(l) AS BIGINT) AS late, CAST(count_if(dup) AS BIGINT) AS duplicates,
+  CAST(count_if(dr IS NOT NULL) AS BIGINT) AS schema_drift, CAST(count_if(NOT n AND NOT l) AS BIGINT) AS clean
 FROM x GROUP BY _batch_id""")(
     lambda spark, d: INJ.injection_stats(_injected_events(spark, d), "_batch_id"))
 
@@ -474,6 +473,6 @@ def _run_gate(spark, d):
 
 register("run_gate", """
 SELECT 'bronze' AS table_name, count(*) AS row_count FROM events
-UNION ALL SELECT 'quarantine', count_if(event_id % 10 IN (3, 5, 7, 9)) FROM events
-UNION ALL SELECT 'silver', count_if(event_id % 10 IN (0, 1, 2, 4, 6, 8)) FROM events
+UNION ALL SELECT 'quarantine', CAST(count_if(event_id % 10 IN (3, 5, 7, 9)) AS BIGINT) FROM events
+UNION ALL SELECT 'silver', CAST(count_if(event_id % 10 IN (0, 1, 2, 4, 6, 8)) AS BIGINT) FROM events
 UNION ALL SELECT 'metrics', 10""")(_run_gate)

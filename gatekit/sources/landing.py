@@ -7,8 +7,6 @@ end up in ``_rescued_data`` as JSON.
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 

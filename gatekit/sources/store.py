@@ -12,7 +12,6 @@ where a ``MERGE INTO`` would go.
 """
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -91,16 +90,10 @@ class Store:
         kept = (tgt.filter(F.array_contains(touched, F.col(BUCKET)))
                    .join(src_b.select(key), key, "left_anti"))
         out = kept.unionByName(src_b, allowMissingColumns=True)
-        # stage first: the touched buckets are deleted when the write commits
-        staged = f"{self.root}/_staging/{table}-{uuid.uuid4().hex[:12]}"
-        out.write.mode("overwrite").partitionBy(BUCKET).parquet(staged)
-        self.append_run(table, self.spark.read.parquet(staged), (BUCKET,))
-        self._delete(staged)
-
-    def _delete(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        # Dynamic overwrite writes new files to a job staging folder and swaps
+        # the touched bucket folders only at job commit, after every task has
+        # finished reading them; a failed job leaves the table as it was.
+        self.append_run(table, out, (BUCKET,))
 
     # ------------------------------------------------------------------ #
     def counts(self, tables: list[str]) -> DataFrame:
