@@ -103,15 +103,21 @@ def column_drift(bronze: DataFrame, spec: GateSpec) -> DataFrame:
 
 def column_drift_raw(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> DataFrame:
     """Same as :func:`column_drift` but from raw JSON text, where a key that is
-    present with an explicit null still counts as present. Key sets are
-    collected first (partial aggregation keeps one copy per distinct set) and
-    lower-cased afterwards, on the one row per batch."""
-    keys = F.map_keys(F.from_json(F.col(value_col), "map<string,string>"))
+    present with an explicit null still counts as present.
+
+    Keys are exploded and de-duplicated per (batch, key) with a partial
+    aggregate and a shuffle, so the only collected list per batch holds
+    distinct column *names* (bounded by the width of the feed's schema).
+    """
+    keys = F.explode(F.transform(F.map_keys(F.from_json(F.col(value_col), "map<string,string>")),
+                                 lambda k: F.lower(k)))
     contract = [c.lower() for c in spec.contract_names]
-    agg = raw.groupBy(spec.batch_col).agg(F.collect_set(keys).alias("_sets"))
-    present = F.array_sort(F.array_distinct(F.transform(
-        F.coalesce(F.flatten(F.col("_sets")), _empty()), lambda k: F.lower(k))))
-    return (agg.select(spec.batch_col, present.alias("present"))
+    names = (raw.select(spec.batch_col, keys.alias("_k")).distinct()
+             .groupBy(spec.batch_col).agg(F.array_sort(F.collect_list("_k")).alias("present")))
+    batches = raw.select(spec.batch_col).distinct()
+    present = F.coalesce(F.col("present"), _empty())
+    return (batches.join(names, spec.batch_col, "left")
+            .select(spec.batch_col, present.alias("present"))
             .select(spec.batch_col, "present",
                     F.array_sort(F.array_except(F.array_except("present", _lit_array(contract)),
                                                 _lit_array([m.lower() for m in spec.meta])))

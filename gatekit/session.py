@@ -83,3 +83,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def configure_for_scale(spark: SparkSession, input_bytes: int,
+                        partition_bytes: int = 256 << 20) -> SparkSession:
+    """Size shuffles and scans for a large cluster.
+
+    Shuffle partitions are set so an average partition is ~``partition_bytes``
+    of input (AQE then coalesces small ones and splits skewed ones); scans
+    read ``2 x partition_bytes`` per task. At 100 TB this gives ~400k shuffle
+    partitions before coalescing, so a partition fits in executor memory
+    without spilling the sort of the dedup window.
+    """
+    configure(spark)
+    parts = max(200, int(input_bytes // partition_bytes))
+    for k, v in {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }.items():
+        spark.conf.set(k, v)
+    return spark
