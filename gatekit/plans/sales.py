@@ -6,6 +6,7 @@ registered query grows with them. Batches are evaluated together with
 """
 from __future__ import annotations
 
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,6 +16,8 @@ from ..operators.evaluate import evaluate_all, freshness_metric
 from ..operators.gate import quarantine_rows
 from ..operators.gold import gold_daily, gold_region_category
 from ..operators.probe import bronze_probe, silver_freshness, with_trailing_avg
+from ..session import path_exists, scratch_dir
+from ..sources.store import BUCKET, Store
 from ..sources.testbind import (AS_OF, N_BATCHES, SALES_NTZ, batch_check_ts,
                                 stored_sales_bronze)
 
@@ -84,3 +87,36 @@ class SalesRun:
     @cached_property
     def gold_rc(self) -> DataFrame:
         return gold_region_category(self.silver, self.spec, self.as_of)
+
+    # ------------------------------------------------------------------ #
+    # the stored layers, as the gate writes them (read by the dashboard tiles)
+    # ------------------------------------------------------------------ #
+    @cached_property
+    def store(self) -> Store:
+        return stored_layers(self)
+
+    def table(self, name: str) -> DataFrame:
+        df = self.store.read(name)
+        return df.drop(BUCKET) if BUCKET in df.columns else df
+
+
+_LAYERS: dict[tuple[str, str], str] = {}
+
+
+def stored_layers(r: SalesRun) -> Store:
+    """Write the log, quarantine, silver and gold of the run once per session
+    and scale, through the store's real paths: per-run partitions for the log
+    and quarantine, the bucketed upsert for silver, a replace for gold."""
+    key = (r.spark.sparkContext.applicationId, os.path.abspath(r.sf_dir))
+    root = _LAYERS.get(key)
+    if root is not None and path_exists(r.spark, f"{root}/gold_region_category"):
+        return Store(r.spark, root)
+    store = Store(r.spark, scratch_dir(r.spark, "sales-layers"))
+    store.append_run("metrics", r.metrics, ("run_id", "layer"))
+    store.append_run("quarantine", r.quarantine, ("run_id",))
+    store.upsert("silver", r.silver, r.spec.key)
+    silver = store.read("silver").drop(BUCKET)
+    store.replace("gold_daily", gold_daily(silver, r.spec, r.as_of))
+    store.replace("gold_region_category", gold_region_category(silver, r.spec, r.as_of))
+    _LAYERS[key] = store.root
+    return store
