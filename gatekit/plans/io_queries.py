@@ -209,7 +209,7 @@ LAST = "4"
 def _merge_frames(spark, d):
     """target = silver of runs 0-3; source = run 4 (inserts) + run 3 re-sent
     with a changed amount by a later run (updates)."""
-    silver = run(spark, d).silver
+    silver = run(spark, d).table("silver")          # the stored silver layer
     tgt = silver.filter(F.col("run_id") != LAST)
     resent = (silver.filter(F.col("run_id") == "3")
               .withColumn("total_amount", F.col("total_amount") + 1.0)
