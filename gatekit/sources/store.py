@@ -53,7 +53,13 @@ class Store:
     # ------------------------------------------------------------------ #
     def append_run(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ("run_id",),
                    merge_schema: bool = False) -> None:
-        """Append one run's rows; re-writing the same run replaces them."""
+        """Append one run's rows; re-writing the same run replaces them.
+
+        The rows are rebalanced on the partition columns first, so each
+        partition folder gets a few files instead of one per task (AQE still
+        splits a partition that is larger than the advisory size)."""
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("mergeSchema", str(merge_schema).lower())
          .partitionBy(*partition_by).parquet(self.path(table)))

@@ -108,6 +108,7 @@ def stored_sales_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = sales_bronze(spark, sf_dir)
     if path is None or not path_exists(spark, path):
         path = scratch_dir(spark, "bronze_sales")
-        view.write.mode("overwrite").partitionBy("_batch_id").parquet(path)
+        (view.hint("rebalance", "_batch_id").write.mode("overwrite")
+         .partitionBy("_batch_id").parquet(path))
         _STORED[key] = path
     return spark.read.schema(view.schema).parquet(path)
