@@ -65,13 +65,17 @@ def _distinct(spec: GateSpec) -> Column:
 
 
 def bronze_probe(bronze: DataFrame, spec: GateSpec, check_ts: Column | None = None,
-                 with_drift: bool = True) -> DataFrame:
+                 with_drift: bool = True, run_id: str | None = None) -> DataFrame:
     """One row per batch: total, null_<required>, rescued, distinct_keys, late,
     max_event_ts, check_ts, lag_hours (+ present/unexpected/missing).
 
     ``check_ts`` is the moment the batch is checked (an ``as_of`` literal or a
     column over the batch id); freshness is measured against it. The event
     time is parsed once per row, in the projection under the aggregate.
+
+    With ``run_id`` the input is one run's slice and the probe is a global
+    aggregate: an empty run still yields its one row (total 0), so an empty
+    rerun is logged rather than silently skipped.
     """
     src = bronze.withColumn("_ts", parse_event(spec))
     ts = F.col("_ts")
@@ -85,7 +89,10 @@ def bronze_probe(bronze: DataFrame, spec: GateSpec, check_ts: Column | None = No
     ]
     if with_drift:
         aggs += _presence_aggs(spec)
-    out = src.groupBy(spec.batch_col).agg(*aggs)
+    if run_id is None:
+        out = src.groupBy(spec.batch_col).agg(*aggs)
+    else:
+        out = src.agg(*aggs).select(F.lit(run_id).alias(spec.batch_col), "*")
     if with_drift:
         out = _with_drift(out, bronze, spec)
     check_ts = F.lit(None).cast(spec.ts_type) if check_ts is None else check_ts

@@ -36,8 +36,13 @@ def gate_raw(spark: SparkSession, raw: DataFrame, store: Store, spec: GateSpec,
     # the run's slice, read back: partition-pruned, and no recompute of the parse
     batch = store.read(BRONZE).filter(F.col(spec.batch_col) == run_id)
 
+    # drift from the keys actually present; a run without rows has no drift
     drift = column_drift_raw(raw.withColumn(spec.batch_col, run), spec)
-    probe = bronze_probe(batch, spec, as_of_c, with_drift=False).join(drift, spec.batch_col)
+    empty = F.array().cast("array<string>")
+    probe = (bronze_probe(batch, spec, as_of_c, with_drift=False, run_id=run_id)
+             .join(drift, spec.batch_col, "left")
+             .withColumn("unexpected", F.coalesce("unexpected", empty))
+             .withColumn("missing", F.coalesce("missing", empty)))
     if with_row_count:
         hist = (trailing_avg(store.read(METRICS), run_id).scalar() if store.exists(METRICS)
                 else F.lit(None).cast("double"))

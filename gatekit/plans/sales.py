@@ -112,10 +112,14 @@ def stored_layers(r: SalesRun) -> Store:
     if root is not None and path_exists(r.spark, f"{root}/gold_region_category"):
         return Store(r.spark, root)
     store = Store(r.spark, scratch_dir(r.spark, "sales-layers"))
-    store.append_run("metrics", r.metrics, ("run_id", "layer"))
     store.append_run("quarantine", r.quarantine, ("run_id",))
     store.upsert("silver", r.silver, r.spec.key)
     silver = store.read("silver").drop(BUCKET)
+    # the silver freshness row comes from the stored silver (no second dedup)
+    check = F.lit(SILVER_CHECK).cast(r.spec.ts_type)
+    fresh = freshness_metric(silver_freshness(silver, r.spec, check), r.spec, F.lit(LAST_RUN),
+                             check, "silver", r.spec.silver_table)
+    store.append_run("metrics", r.bronze_metrics.unionByName(fresh), ("run_id", "layer"))
     store.replace("gold_daily", gold_daily(silver, r.spec, r.as_of))
     store.replace("gold_region_category", gold_region_category(silver, r.spec, r.as_of))
     _LAYERS[key] = store.root

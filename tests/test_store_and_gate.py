@@ -74,3 +74,23 @@ def test_run_gate_end_to_end_and_rerun(spark):
     # row-count rule saw the trailing average of the other runs
     rc = st.read("metrics").filter("rule_name = 'row_count_anomaly' AND run_id = '4'").first()
     assert rc.threshold > 0
+
+
+def test_empty_rerun_is_logged(spark):
+    """No new files: null rate 0/0 PASS, duplicate PASS, freshness FAIL (no
+    event time), row count FAIL against the history, drift PASS."""
+    from gatekit.plans.medallion import gate_raw
+    root = scratch_dir(spark, "t-empty")
+    _, dirs = _sales_landings(spark, root)
+    st = Store(spark, f"{root}/store", buckets=4)
+    from gatekit.sources.landing import read_landing
+    gate_raw(spark, read_landing(spark, dirs["0"]), st, SALES, "0", "2002-01-01 00:00:00")
+    empty = spark.createDataFrame([], "value string, _source_file string")
+    gate_raw(spark, empty, st, SALES, "9", "2002-01-02 00:00:00")
+    m = {(r.rule_name, r.column_name): r.status for r in
+         st.read("metrics").filter("run_id = '9' AND layer = 'bronze'").collect()}
+    assert len(m) == 10
+    assert m[("null_rate", "order_id")] == "PASS" and m[("duplicate", "order_id")] == "PASS"
+    assert m[("freshness_sla", "order_ts")] == "FAIL"
+    assert m[("row_count_anomaly", None)] == "FAIL"
+    assert m[("schema_drift", None)] == "PASS"
