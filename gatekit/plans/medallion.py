@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.conform import build_silver
@@ -27,7 +28,20 @@ GoldFn = Callable[[DataFrame, GateSpec, object], dict[str, DataFrame]]
 
 def gate_raw(spark: SparkSession, raw: DataFrame, store: Store, spec: GateSpec, run_id: str,
              as_of: str, gold: GoldFn | None = None, with_row_count: bool = True) -> None:
-    """Gate one run of raw lines (``value`` [+ ``_source_file``])."""
+    """Gate one run of raw lines (``value`` [+ ``_source_file``]).
+
+    The raw lines feed both the rescue parse and the key-drift scan, so they
+    are persisted for the run (a lost executor recomputes its blocks from the
+    landing files) and released at the end.
+    """
+    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _gate(spark, raw, store, spec, run_id, as_of, gold, with_row_count)
+    finally:
+        raw.unpersist()
+
+
+def _gate(spark, raw, store, spec, run_id, as_of, gold, with_row_count) -> None:
     as_of_c = F.lit(as_of).cast(spec.ts_type)
     run = F.lit(run_id)
 
