@@ -47,9 +47,19 @@ def _gate(spark, raw, store, spec, run_id, as_of, gold, with_row_count) -> None:
 
     bronze = stamp_lineage(rescue_drift(raw, spec), spec, run_id, as_of_c)
     store.append_run(BRONZE, bronze.select(*bronze_columns(spec)), (spec.batch_col,))
-    # the run's slice, read back: partition-pruned, and no recompute of the parse
-    batch = store.read(BRONZE).filter(F.col(spec.batch_col) == run_id)
+    # the run's slice, read back (partition-pruned, no re-parse) and kept for
+    # its three readers: probe, quarantine and silver
+    batch = (store.read(BRONZE).filter(F.col(spec.batch_col) == run_id)
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        _checks_and_layers(spark, raw, batch, store, spec, run_id, as_of_c, run, gold,
+                           with_row_count)
+    finally:
+        batch.unpersist()
+
 
+def _checks_and_layers(spark, raw, batch, store, spec, run_id, as_of_c, run, gold,
+                       with_row_count) -> None:
     # drift from the keys actually present; a run without rows has no drift
     drift = column_drift_raw(raw.withColumn(spec.batch_col, run), spec)
     empty = F.array().cast("array<string>")
@@ -76,7 +86,6 @@ def _gate(spark, raw, store, spec, run_id, as_of, gold, with_row_count) -> None:
             store.replace(name, df)
         # the gold refresh logs its own freshness row (layer gold), as the
         # notebook path does, with the real run id
-        fresh = silver_freshness(store.read(SILVER).drop("_bucket"), spec, as_of_c)
         store.append_run(METRICS, freshness_metric(fresh, spec, run, as_of_c, "gold",
                                                    GOLD_TABLE), ("run_id", "layer"))
 
