@@ -12,8 +12,8 @@ from ..operators import inject as INJ
 from ..operators.probe import column_drift_raw, with_trailing_avg
 from ..session import scratch_dir
 from ..sources.events import EPOCH, EVENTS, EVENTS_AS_OF, event_day, events, events_json
-from ..sources.landing import (ingest_batch, read_landing, render_json, rescue_drift,
-                               stamp_lineage, write_jsonl)
+from ..sources.landing import (evolve_drift, ingest_batch, read_landing, render_json,
+                               rescue_drift, stamp_lineage, write_jsonl)
 from ..sources.store import BUCKET, Store, table_counts
 from ..sources.testbind import SALES_NTZ, table
 from ..streaming.ingest import gate_stream, ingest_once, ingest_stream
@@ -476,3 +476,24 @@ SELECT 'bronze' AS table_name, count(*) AS row_count FROM events
 UNION ALL SELECT 'quarantine', CAST(count_if(event_id % 10 IN (3, 5, 7, 9)) AS BIGINT) FROM events
 UNION ALL SELECT 'silver', CAST(count_if(event_id % 10 IN (0, 1, 2, 4, 6, 8)) AS BIGINT) FROM events
 UNION ALL SELECT 'metrics', 10""")(_run_gate)
+
+
+def _evolve_ingest(spark, d):
+    """drift='evolve' on the drifted events: coupon / amount become columns,
+    the mistyped value and the cut lines are rescued; appended to a store
+    with mergeSchema and read back widened."""
+    store = Store(spark, scratch_dir(spark, "store"))
+    raw = read_landing(spark, _landing(spark, d))
+    bronze = stamp_lineage(evolve_drift(raw, E), E, RUN, _as_of())
+    store.append_run("bronze", bronze.drop(E.source_col), (E.batch_col,), merge_schema=True)
+    return _typed_view(store.read("bronze", merge_schema=True), with_batch=False,
+                       extra=("coupon", "amount"))
+
+
+register("evolve_ingest", f"""
+SELECT {_ev('event_id')} AS event_id, {_ev('ts')} AS ts, {_ev('user_id')} AS user_id,
+  {_ev('event_type')} AS event_type, {_ev('value', (5, 7, 9))} AS value, {_ev('props')} AS props,
+  CASE event_id % 10 WHEN 7 THEN 'value' WHEN 9 THEN '_corrupt_record' END AS rescued_keys,
+  CASE WHEN event_id % 10 = 3 THEN 'C' || CAST(event_id % 7 AS VARCHAR) END AS coupon,
+  CASE WHEN event_id % 10 = 5 THEN CAST(value AS VARCHAR) END AS amount
+FROM events""")(_evolve_ingest)

@@ -16,7 +16,7 @@ from ..operators.conform import build_silver
 from ..operators.evaluate import evaluate_all, freshness_metric
 from ..operators.gate import quarantine_rows
 from ..operators.probe import bronze_probe, column_drift_raw, silver_freshness, trailing_avg
-from ..sources.landing import bronze_columns, rescue_drift, stamp_lineage
+from ..sources.landing import bronze_columns, parse_raw, stamp_lineage
 from ..sources.store import Store
 from ..spec import GateSpec
 
@@ -27,7 +27,8 @@ GoldFn = Callable[[DataFrame, GateSpec, object], dict[str, DataFrame]]
 
 
 def gate_raw(spark: SparkSession, raw: DataFrame, store: Store, spec: GateSpec, run_id: str,
-             as_of: str, gold: GoldFn | None = None, with_row_count: bool = True) -> None:
+             as_of: str, gold: GoldFn | None = None, with_row_count: bool = True,
+             drift: str = "rescue") -> None:
     """Gate one run of raw lines (``value`` [+ ``_source_file``]).
 
     The raw lines feed both the rescue parse and the key-drift scan, so they
@@ -36,20 +37,23 @@ def gate_raw(spark: SparkSession, raw: DataFrame, store: Store, spec: GateSpec,
     """
     raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _gate(spark, raw, store, spec, run_id, as_of, gold, with_row_count)
+        _gate(spark, raw, store, spec, run_id, as_of, gold, with_row_count, drift)
     finally:
         raw.unpersist()
 
 
-def _gate(spark, raw, store, spec, run_id, as_of, gold, with_row_count) -> None:
+def _gate(spark, raw, store, spec, run_id, as_of, gold, with_row_count, drift) -> None:
     as_of_c = F.lit(as_of).cast(spec.ts_type)
     run = F.lit(run_id)
 
-    bronze = stamp_lineage(rescue_drift(raw, spec), spec, run_id, as_of_c)
-    store.append_run(BRONZE, bronze.select(*bronze_columns(spec)), (spec.batch_col,))
+    bronze = stamp_lineage(parse_raw(raw, spec, drift), spec, run_id, as_of_c)
+    if drift == "rescue":
+        bronze = bronze.select(*bronze_columns(spec))
+    store.append_run(BRONZE, bronze, (spec.batch_col,), merge_schema=drift == "evolve")
     # the run's slice, read back (partition-pruned, no re-parse) and kept for
     # its three readers: probe, quarantine and silver
-    batch = (store.read(BRONZE).filter(F.col(spec.batch_col) == run_id)
+    batch = (store.read(BRONZE, merge_schema=drift == "evolve")
+             .filter(F.col(spec.batch_col) == run_id)
              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         _checks_and_layers(spark, raw, batch, store, spec, run_id, as_of_c, run, gold,
@@ -91,10 +95,10 @@ def _checks_and_layers(spark, raw, batch, store, spec, run_id, as_of_c, run, gol
 
 
 def run_gate(spark: SparkSession, landing: str, store: Store, spec: GateSpec, run_id: str,
-             as_of: str, gold: GoldFn | None = None) -> DataFrame:
+             as_of: str, gold: GoldFn | None = None, drift: str = "rescue") -> DataFrame:
     """Gate every file under ``landing`` as one run; returns the table counts."""
     from ..sources.landing import read_landing
-    gate_raw(spark, read_landing(spark, landing), store, spec, run_id, as_of, gold)
+    gate_raw(spark, read_landing(spark, landing), store, spec, run_id, as_of, gold, drift=drift)
     tables = [BRONZE, QUARANTINE, SILVER, METRICS] + (["gold_daily", "gold_region_category"]
                                                       if gold else [])
     return store.counts(tables)

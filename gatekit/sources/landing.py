@@ -96,6 +96,33 @@ def rescue_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> Da
             .select(*typed, resc.alias(spec.rescue_col), *keep))
 
 
+def evolve_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> DataFrame:
+    """``drift='evolve'``: keys outside the contract become new (string)
+    columns, so the table widens (written with ``mergeSchema``); values of the
+    wrong type and malformed lines are still rescued.
+
+    The new column names come from a distributed distinct over the keys; only
+    the distinct names (bounded by the feed's schema width, as in schema
+    inference) reach the driver.
+    """
+    m = F.col("_m")
+    names = F.array(*[F.lit(c) for c in spec.contract_names])
+    parsed = raw.withColumn("_m", F.from_json(F.col(value_col), "map<string,string>"))
+    extra = sorted(r[0] for r in parsed.select(F.explode(F.array_except(F.map_keys(m), names)))
+                   .distinct().collect())
+    typed = [m[f.name].try_cast(f.dataType).alias(f.name) for f in spec.contract.fields]
+    bad = rescued_key_list(spec, m)
+    mismatched = F.array_intersect(bad, names)
+    resc = (F.when(m.isNull() & (F.trim(F.col(value_col)) != ""),
+                   F.to_json(F.create_map(F.lit(CORRUPT_KEY), F.col(value_col))))
+            .when(F.size(mismatched) > 0,
+                  F.to_json(F.map_from_arrays(mismatched,
+                                              F.transform(mismatched, lambda k: m[k])))))
+    keep = [c for c in raw.columns if c != value_col]
+    return parsed.select(*typed, *[m[k].alias(k) for k in extra],
+                         resc.alias(spec.rescue_col), *keep)
+
+
 def stamp_lineage(df: DataFrame, spec: GateSpec, run_id: str | Column, as_of: Column) -> DataFrame:
     """Add ingest time and batch id; the source file comes from the file
     metadata (``read_landing``) when present."""
@@ -111,8 +138,20 @@ def bronze_columns(spec: GateSpec) -> list[str]:
     return spec.contract_names + list(spec.meta)
 
 
+def parse_raw(raw: DataFrame, spec: GateSpec, drift: str = "rescue") -> DataFrame:
+    """``drift='rescue'`` (default): extra keys go to the rescue column;
+    ``drift='evolve'``: they become new columns."""
+    if drift == "evolve":
+        return evolve_drift(raw, spec)
+    if drift != "rescue":
+        raise ValueError(f"drift must be 'rescue' or 'evolve', not {drift!r}")
+    return rescue_drift(raw, spec)
+
+
 def ingest_batch(spark: SparkSession, landing: str, spec: GateSpec, run_id: str,
-                 as_of: Column) -> DataFrame:
+                 as_of: Column, drift: str = "rescue") -> DataFrame:
     """Every line under ``landing`` as bronze rows of one run (no file tracking)."""
-    raw = read_landing(spark, landing)
-    return stamp_lineage(rescue_drift(raw, spec), spec, run_id, as_of).select(*bronze_columns(spec))
+    out = stamp_lineage(parse_raw(read_landing(spark, landing), spec, drift), spec, run_id, as_of)
+    if drift == "rescue":
+        return out.select(*bronze_columns(spec))
+    return out

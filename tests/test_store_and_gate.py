@@ -94,3 +94,19 @@ def test_empty_rerun_is_logged(spark):
     assert m[("freshness_sla", "order_ts")] == "FAIL"
     assert m[("row_count_anomaly", None)] == "FAIL"
     assert m[("schema_drift", None)] == "PASS"
+
+
+def test_gate_with_evolve_widens_bronze(spark):
+    from gatekit.sources.events import EVENTS, events_json
+    root = scratch_dir(spark, "t-evolve")
+    landing = write_jsonl(events_json(spark, SF0001), f"{root}/landing")
+    st = Store(spark, f"{root}/store", buckets=4)
+    run_gate(spark, landing, st, EVENTS, "e1", "2024-01-31 00:00:00", drift="evolve")
+    bronze = st.read("bronze", merge_schema=True)
+    assert {"coupon", "amount"} <= set(bronze.columns)
+    ev = spark.read.parquet(f"{SF0001}/events.parquet")
+    # only mistyped values (id % 10 == 7) and cut lines (id % 10 == 9) are rescued
+    assert st.read("quarantine").count() == ev.filter(F.col("event_id") % 10 >= 7)\
+        .filter(F.col("event_id") % 2 == 1).count()
+    drift = st.read("metrics").filter("rule_name = 'schema_drift'").first()
+    assert drift.status == "FAIL" and drift.metric_value == 2.0      # coupon, amount
