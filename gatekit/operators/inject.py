@@ -16,6 +16,11 @@ NULL_SHARE, LATE_SHARE, DUP_SHARE = 0.4, 0.2, 0.15
 LATE_DAYS = (2, 30)          # inclusive
 LATE_MINUTES = (0, 1440)     # inclusive
 DRIFT_MODES = ("extra", "missing", "renamed")
+# Sales-contract drift: extra keys and their values, dropped keys, renames.
+SALES_DISCOUNT_CODES = ("SAVE10", "FREESHIP", "VIP20", "NONE")
+SALES_LOYALTY_TIERS = ("BRONZE", "SILVER", "GOLD")
+SALES_MISSING = ("store_region", "payment_method")
+SALES_RENAMED = (("unit_price", "price"), ("product_category", "category"))
 
 
 def roll(id_col: str, a: int = 7919, b: int = 13) -> Column:
@@ -106,3 +111,14 @@ def inject_batch(df: DataFrame, id_col: str, ts_col: str, batch_num: Column, as_
     out = inject_late(out, id_col, ts_col, as_of, rate)
     out = inject_drift(out, batch_num, rate)
     return inject_duplicates(out, id_col, rate)
+
+
+def sales_drift(df: DataFrame, pick_col: str = "quantity") -> DataFrame:
+    """The classic drift modes on the sales contract; the extra values are
+    picked by ``pick_col`` modulo the list length (deterministic)."""
+    def choose(values):
+        arr = F.array(*[F.lit(v) for v in values])
+        return F.element_at(arr, (F.pmod(F.col(pick_col), F.lit(len(values))) + 1).cast("int"))
+    return apply_drift(df, {"discount_code": choose(SALES_DISCOUNT_CODES),
+                            "loyalty_tier": choose(SALES_LOYALTY_TIERS)},
+                       list(SALES_MISSING), dict(SALES_RENAMED))

@@ -497,3 +497,31 @@ SELECT {_ev('event_id')} AS event_id, {_ev('ts')} AS ts, {_ev('user_id')} AS use
   CASE WHEN event_id % 10 = 3 THEN 'C' || CAST(event_id % 7 AS VARCHAR) END AS coupon,
   CASE WHEN event_id % 10 = 5 THEN CAST(value AS VARCHAR) END AS amount
 FROM events""")(_evolve_ingest)
+
+
+def _inject_drift_sales(spark, d):
+    b = run(spark, d).bronze
+    x = INJ.inject_drift(b, F.col("_batch_id").cast("int"), 1.0)
+    return INJ.sales_drift(x).select(
+        "order_id", "_batch_id", "_drift", "discount_code", "loyalty_tier", "store_region",
+        "payment_method", "unit_price", "price", "product_category", "category")
+
+
+def _pick(values, col="quantity"):
+    arr = "[" + ", ".join(f"'{v}'" for v in values) + "]"
+    return f"{arr}[{col} % {len(values)} + 1]"
+
+
+register("inject_drift_sales", O.with_ctes(["bronze"], f"""
+SELECT order_id, _batch_id, _drift,
+  CASE WHEN _drift = 'extra' THEN {_pick(INJ.SALES_DISCOUNT_CODES)} END AS discount_code,
+  CASE WHEN _drift = 'extra' THEN {_pick(INJ.SALES_LOYALTY_TIERS)} END AS loyalty_tier,
+  CASE WHEN _drift = 'missing' THEN NULL ELSE store_region END AS store_region,
+  CASE WHEN _drift = 'missing' THEN NULL ELSE payment_method END AS payment_method,
+  CASE WHEN _drift = 'renamed' THEN NULL ELSE unit_price END AS unit_price,
+  CASE WHEN _drift = 'renamed' THEN unit_price END AS price,
+  CASE WHEN _drift = 'renamed' THEN NULL ELSE product_category END AS product_category,
+  CASE WHEN _drift = 'renamed' THEN product_category END AS category
+FROM (SELECT *, CASE WHEN (CAST(_batch_id AS INTEGER) * 7919 + 13) % 1000 < 1000
+                THEN ['extra', 'missing', 'renamed'][CAST(_batch_id AS INTEGER) % 3 + 1] END AS _drift
+      FROM bronze)""", ))(_inject_drift_sales)
