@@ -30,7 +30,7 @@ def lag_sql(max_ts: str, as_of: str) -> str:
 
 def rnd(expr: str, places: int) -> str:
     """Spark's round on a double: HALF_UP on the value's decimal text."""
-    return (f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,12)), {places}) "
+    return (f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {places}) "
             f"AS {D})")
 
 
