@@ -3,9 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.exprs import (conform_columns, hours_interval, is_late, parse_event,
+from ..functions.exprs import (conform_columns, good_row, is_late, parse_event,
                                repaired_amount)
-from ..functions.exprs import good_row
 from ..spec import GateSpec
 
 
@@ -78,4 +77,4 @@ def build_silver(batch: DataFrame, spec: GateSpec, run_id: Column | None = None)
 
 __all__ = ["conform_types", "conform_defaults", "repair_amount", "derive_order_date",
            "flag_late", "exclude_cancelled", "conform", "silver_order", "dedup_latest",
-           "build_silver", "hours_interval"]
+           "build_silver"]

@@ -53,3 +53,42 @@ def test_write_jsonl_one_line_per_record(spark):
     back = spark.read.text(path)
     assert back.count() == j.count()
     assert back.filter(~F.col("value").startswith("{")).count() == 0
+
+
+def test_evaluate_all_gives_ten_rows_per_batch(spark):
+    from gatekit.operators.evaluate import LOG_COLUMNS
+    r = SalesRun(spark, SF0001)
+    m = r.bronze_metrics
+    assert tuple(m.columns) == LOG_COLUMNS
+    rows = m.collect()
+    assert len(rows) == 5 * 10
+    per = {}
+    for x in rows:
+        per.setdefault(x.run_id, []).append((x.rule_name, x.column_name))
+    expected = ([("schema_drift", None)] + [("null_rate", c) for c in r.spec.required]
+                + [("duplicate", "order_id"), ("freshness_sla", "order_ts"),
+                   ("late_arriving", "order_ts"), ("row_count_anomaly", None)])
+    assert all(sorted(v, key=repr) == sorted(expected, key=repr) for v in per.values())
+    # the first batch has no history: baseline PASS with threshold 0
+    first = [x for x in rows if x.run_id == "0" and x.rule_name == "row_count_anomaly"][0]
+    assert first.status == "PASS" and first.threshold == 0.0
+
+
+def test_approx_distinct_is_opt_in_and_close(spark):
+    from gatekit.operators.probe import bronze_probe
+    r = SalesRun(spark, SF0001)
+    exact = {x._batch_id: x.distinct_keys for x in bronze_probe(r.bronze, r.spec).collect()}
+    approx = {x._batch_id: x.distinct_keys for x in
+              bronze_probe(r.bronze, r.spec.with_(distinct_rsd=0.02)).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= 0.1 * exact[k] for k in exact)
+
+
+def test_trailing_average_last_n(spark):
+    from gatekit.operators.probe import with_trailing_avg
+    p = spark.createDataFrame([(str(i), t) for i, t in enumerate([10, 20, 30, 40])],
+                              "_batch_id string, total long")
+    full = {x._batch_id: x.trailing_avg for x in with_trailing_avg(p, "_batch_id").collect()}
+    last2 = {x._batch_id: x.trailing_avg for x in with_trailing_avg(p, "_batch_id", 2).collect()}
+    assert full == {"0": None, "1": 10.0, "2": 15.0, "3": 20.0}
+    assert last2 == {"0": None, "1": 10.0, "2": 15.0, "3": 25.0}
