@@ -116,8 +116,9 @@ def column_drift_raw(raw: DataFrame, spec: GateSpec, value_col: str = "value") -
     aggregate and a shuffle, so the only collected list per batch holds
     distinct column *names* (bounded by the width of the feed's schema).
     """
-    keys = F.explode(F.transform(F.map_keys(F.from_json(F.col(value_col), "map<string,string>")),
-                                 lambda k: F.lower(k)))
+    parsed = (F.col("_m") if "_m" in raw.columns
+              else F.from_json(F.col(value_col), "map<string,string>"))
+    keys = F.explode(F.transform(F.map_keys(parsed), lambda k: F.lower(k)))
     contract = [c.lower() for c in spec.contract_names]
     names = (raw.select(spec.batch_col, keys.alias("_k")).distinct()
              .groupBy(spec.batch_col).agg(F.array_sort(F.collect_list("_k")).alias("present")))

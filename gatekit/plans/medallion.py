@@ -16,7 +16,7 @@ from ..operators.conform import build_silver
 from ..operators.evaluate import evaluate_all, freshness_metric
 from ..operators.gate import quarantine_rows
 from ..operators.probe import bronze_probe, column_drift_raw, silver_freshness, trailing_avg
-from ..sources.landing import bronze_columns, parse_raw, stamp_lineage
+from ..sources.landing import bronze_columns, parse_lines, parse_raw, stamp_lineage
 from ..sources.store import Store
 from ..spec import GateSpec
 
@@ -31,11 +31,11 @@ def gate_raw(spark: SparkSession, raw: DataFrame, store: Store, spec: GateSpec,
              drift: str = "rescue") -> None:
     """Gate one run of raw lines (``value`` [+ ``_source_file``]).
 
-    The raw lines feed both the rescue parse and the key-drift scan, so they
-    are persisted for the run (a lost executor recomputes its blocks from the
-    landing files) and released at the end.
+    Each line is parsed once; the parsed lines feed both the rescue and the
+    key-drift scan, so they are persisted for the run (a lost executor
+    recomputes its blocks from the landing files) and released at the end.
     """
-    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    raw = parse_lines(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         _gate(spark, raw, store, spec, run_id, as_of, gold, with_row_count, drift)
     finally:

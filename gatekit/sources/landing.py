@@ -60,6 +60,16 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
             .select("value", F.col("_metadata.file_path").alias("_source_file")))
 
 
+PARSED = "_m"
+
+
+def parse_lines(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Add the parsed ``map<string,string>`` of each line (once per line)."""
+    if PARSED in raw.columns:
+        return raw
+    return raw.withColumn(PARSED, F.from_json(F.col(value_col), "map<string,string>"))
+
+
 def rescued_key_list(spec: GateSpec, m: Column) -> Column:
     """Keys to rescue from the parsed map, found without a lambda: keys outside
     the contract, plus typed contract keys whose text does not cast."""
@@ -90,9 +100,8 @@ def rescue_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> Da
                    F.to_json(F.create_map(F.lit(CORRUPT_KEY), F.col(value_col))))
             .when(F.size(keys) > 0, F.to_json(rescued)))
     typed = [m[f.name].try_cast(f.dataType).alias(f.name) for f in spec.contract.fields]
-    keep = [c for c in raw.columns if c != value_col]
-    parsed = raw.withColumn("_m", F.from_json(F.col(value_col), "map<string,string>"))
-    return (parsed.withColumn("_rk", rescued_key_list(spec, m))
+    keep = [c for c in raw.columns if c not in (value_col, PARSED)]
+    return (parse_lines(raw, value_col).withColumn("_rk", rescued_key_list(spec, m))
             .select(*typed, resc.alias(spec.rescue_col), *keep))
 
 
@@ -107,7 +116,7 @@ def evolve_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> Da
     """
     m = F.col("_m")
     names = F.array(*[F.lit(c) for c in spec.contract_names])
-    parsed = raw.withColumn("_m", F.from_json(F.col(value_col), "map<string,string>"))
+    parsed = parse_lines(raw, value_col)
     extra = sorted(r[0] for r in parsed.select(F.explode(F.array_except(F.map_keys(m), names)))
                    .distinct().collect())
     typed = [m[f.name].try_cast(f.dataType).alias(f.name) for f in spec.contract.fields]
@@ -118,7 +127,7 @@ def evolve_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> Da
             .when(F.size(mismatched) > 0,
                   F.to_json(F.map_from_arrays(mismatched,
                                               F.transform(mismatched, lambda k: m[k])))))
-    keep = [c for c in raw.columns if c != value_col]
+    keep = [c for c in raw.columns if c not in (value_col, PARSED)]
     return parsed.select(*typed, *[m[k].alias(k) for k in extra],
                          resc.alias(spec.rescue_col), *keep)
 
