@@ -26,7 +26,9 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "8g"))
+         .config("spark.driver.memory", "8g")
+         # checkpointed upsert sources are removed once no longer referenced
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
