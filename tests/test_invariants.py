@@ -92,3 +92,18 @@ def test_trailing_average_last_n(spark):
     last2 = {x._batch_id: x.trailing_avg for x in with_trailing_avg(p, "_batch_id", 2).collect()}
     assert full == {"0": None, "1": 10.0, "2": 15.0, "3": 20.0}
     assert last2 == {"0": None, "1": 10.0, "2": 15.0, "3": 25.0}
+
+
+def test_hot_key_with_a_third_of_rows(spark):
+    """One key holding a third of all rows still yields exactly one survivor
+    per key, and the whole batch is kept (nothing capped or sampled)."""
+    from gatekit.operators.conform import build_silver
+    r = SalesRun(spark, SF0001)
+    hot = r.bronze.withColumn("order_id", F.when(F.col("order_id").isNotNull()
+                                                 & (F.hash("order_id") % 3 == 0), F.lit("HOT"))
+                              .otherwise(F.col("order_id")))
+    silver = build_silver(hot, r.spec)
+    good = good_rows(hot, r.spec)
+    assert good.filter(F.col("order_id") == "HOT").count() > good.count() / 5
+    assert silver.filter(F.col("order_id") == "HOT").count() == 1
+    assert silver.count() == good.select("order_id").distinct().count()

@@ -62,3 +62,17 @@ def test_render_keeps_missing_and_null_apart(spark):
     out = [json.loads(r.value) for r in
            render_json(df, ["id", "v"], present=present).orderBy("value").collect()]
     assert {"id": 1} in out and {"id": 2, "v": None} in out and {"id": 3, "v": "x"} in out
+
+
+def test_gate_stream_in_several_micro_batches(spark):
+    from gatekit.streaming.ingest import gate_stream
+    landing = write_jsonl(events_json(spark, SF0001).repartition(6), scratch_dir(spark, "t-l"))
+    st = Store(spark, scratch_dir(spark, "t-store"))
+    gate_stream(spark, landing, st, EVENTS, "s", AS_OF, scratch_dir(spark, "t-ckpt"),
+                max_files=2).awaitTermination()
+    runs = st.read("metrics").select("run_id").distinct().count()
+    assert runs >= 3                                   # one run per micro-batch
+    ev = events(spark, SF0001)
+    good = ev.filter((F.col("event_id") % 10).isin(0, 1, 2, 4, 6, 8)).count()
+    assert st.read("silver").count() == good
+    assert st.read("quarantine").count() == ev.count() - good
