@@ -459,7 +459,44 @@ def _inject_batch(spark, d):
     return render_json(x, cols, present=present, keep=("_batch_id",))
 
 
-register("inject_batch")(_inject_batch)
+register("inject_batch_json")(_inject_batch)
+
+_INJ_COLS = ["event_id", "_batch_id", "_copy", "_dup", "_null_style", "_null_col", "_late",
+             "_drift", "ts", "user_id", "event_type", "value", "props", "coupon", "amount"]
+
+
+def _inject_batch_typed(spark, d):
+    """The composed injection (nulls / late -> drift -> duplicates) as typed rows."""
+    x = INJ.apply_drift(_injected_events(spark, d),
+                        {"coupon": F.concat(F.lit("C"), (F.col("event_id") % 7).cast("string"))},
+                        ["props"], {"value": "amount"})
+    return x.select(*_INJ_COLS)
+
+
+_PICK = f"event_id % {len(_EV_NULL_COLS)}"
+_NULLED = {c: f"CASE WHEN {_NULL_HIT} AND {_PICK} = {i} THEN NULL ELSE {c} END"
+           for i, c in enumerate(_EV_NULL_COLS)}
+_NULL_COL_LIST = "[" + ", ".join(f"'{c}'" for c in _EV_NULL_COLS) + "]"
+
+register("inject_batch", f"""
+WITH n AS (
+  SELECT event_id, {EV_DAY} AS _batch_id, {_BNUM} AS bn,
+    CASE WHEN {_NULL_HIT} THEN CASE WHEN event_id % 2 = 0 THEN 'null' ELSE 'missing' END END AS _null_style,
+    CASE WHEN {_NULL_HIT} THEN {_NULL_COL_LIST}[{_PICK} + 1] END AS _null_col,
+    {_NULLED['user_id']} AS user_id, {_NULLED['event_type']} AS event_type,
+    {_NULLED['value']} AS value, props,
+    CASE WHEN {_LATE_HIT} THEN {_LATE_TS} ELSE ts END AS ts, {_LATE_HIT} AS _late,
+    {_DUP_HIT_EV} AS _dup
+  FROM events),
+d AS (SELECT *, CASE WHEN (bn * 7919 + 13) % 1000 < {INJ.per_mille(RATE)}
+                THEN ['extra', 'missing', 'renamed'][bn % 3 + 1] END AS _drift FROM n),
+x AS (SELECT *, CAST(unnest(generate_series(1, CASE WHEN _dup THEN 2 ELSE 1 END)) AS INTEGER) AS _copy FROM d)
+SELECT event_id, _batch_id, _copy, _dup, _null_style, _null_col, _late, _drift, ts, user_id, event_type,
+  CASE WHEN _drift IS NULL OR _drift <> 'renamed' THEN value END AS value,
+  CASE WHEN _drift IS NULL OR _drift <> 'missing' THEN props END AS props,
+  CASE WHEN _drift = 'extra' THEN 'C' || CAST(event_id % 7 AS VARCHAR) END AS coupon,
+  CASE WHEN _drift = 'renamed' THEN value END AS amount
+FROM x""")(_inject_batch_typed)
 
 
 # --------------------------------------------------------------------------- #

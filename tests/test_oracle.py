@@ -12,7 +12,7 @@ SQL = E.oracle_sql()
 
 def test_every_query_is_registered_with_sql_or_rows_only():
     rows_only = set(QUERIES) - set(SQL)
-    assert rows_only == {"inject_batch"}
+    assert rows_only == {"inject_batch_json"}
     assert set(SQL) <= set(QUERIES)
 
 
@@ -23,7 +23,7 @@ def test_matches_duckdb(spark, duck, name):
 
 
 def test_rows_only_queries_run(spark):
-    df = QUERIES["inject_batch"](spark, SF0001)
+    df = QUERIES["inject_batch_json"](spark, SF0001)
     assert df.count() >= 1000 and df.columns == ["value", "_batch_id"]
 
 
