@@ -292,9 +292,11 @@ UNION ALL SELECT 'gold_daily', 0 UNION ALL SELECT 'gold_region_category', 0"""))
 
 def _table_counts(spark, d):
     r = run(spark, d)
-    return table_counts({"bronze_sales": r.bronze, "bronze_sales_quarantine": r.quarantine,
-                         "silver_sales": r.silver, "gold_daily_sales": r.gold_daily,
-                         "gold_region_category": r.gold_rc, "data_quality_metrics": r.metrics})
+    t = r.table
+    return table_counts({"bronze_sales": r.bronze, "bronze_sales_quarantine": t("quarantine"),
+                         "silver_sales": t("silver"), "gold_daily_sales": t("gold_daily"),
+                         "gold_region_category": t("gold_region_category"),
+                         "data_quality_metrics": t("metrics")})
 
 
 register("table_counts", O.with_ctes(["quarantine", "metrics", "gold"], """

@@ -16,6 +16,7 @@ from ..operators import gate as G
 from ..operators import probe as P
 from ..operators import tiles as TL
 from ..operators.evaluate import fail_count_per_run
+from ..operators.gold import gold_daily, gold_region_category
 from ..sources.testbind import SALES_NTZ, batch_check_ts
 from . import oracle as O
 from .sales import LAST_RUN, SalesRun, arrays_as_text, drop_detail
@@ -107,7 +108,7 @@ SELECT order_id, order_ts, _ingest_ts, {O.late_sql()} AS is_late FROM bronze""")
 
 register("exclude_cancelled", O.with_ctes(["silver"], f"""
 SELECT * FROM silver WHERE {S.status_col} <> '{S.cancelled_value}'"""))(
-    lambda spark, d: C.exclude_cancelled(run(spark, d).silver, S))
+    lambda spark, d: C.exclude_cancelled(run(spark, d).table("silver"), S))
 
 # --------------------------------------------------------------------------- #
 # 2.5 windows
@@ -168,26 +169,28 @@ register("silver_freshness", O.with_ctes(["silver"], f"""
 SELECT count(*) AS silver_rows,
   {O.lag_sql('max(order_ts)', "TIMESTAMP '" + O.AS_OF + "'")} AS lag_hours
 FROM silver"""))(
-    lambda spark, d: P.silver_freshness(run(spark, d).silver, S, run(spark, d).as_of))
+    lambda spark, d: P.silver_freshness(run(spark, d).table("silver"), S, run(spark, d).as_of))
 
 register("trailing_avg", O.with_ctes(["metrics"], f"""
 SELECT avg(metric_value) AS trailing_avg FROM metrics
 WHERE rule_name = 'row_count_anomaly' AND run_id <> '{LAST_RUN}'"""))(
-    lambda spark, d: P.trailing_avg(run(spark, d).metrics, LAST_RUN))
+    lambda spark, d: P.trailing_avg(run(spark, d).table("metrics"), LAST_RUN))
 
 register("gold_daily", O.with_ctes(["gold"], "SELECT * FROM gold_daily"))(
-    lambda spark, d: run(spark, d).gold_daily)
+    lambda spark, d: (lambda r: gold_daily(r.table("silver"), S, r.as_of))(run(spark, d)))
 
 register("gold_region_category", O.with_ctes(["gold"], "SELECT * FROM gold_rc"))(
-    lambda spark, d: run(spark, d).gold_rc)
+    lambda spark, d: (lambda r: gold_region_category(r.table("silver"), S, r.as_of))(
+        run(spark, d)))
 
 
 def _run_row_count(spark, d):
     r = run(spark, d)
     parts = [r.bronze.select(F.lit("bronze_sales").alias("table_name"),
                              F.col("_batch_id").alias("run_id")),
-             r.quarantine.select(F.lit("bronze_sales_quarantine").alias("table_name"), "run_id"),
-             r.silver.select(F.lit("silver_sales").alias("table_name"), "run_id")]
+             r.table("quarantine").select(F.lit("bronze_sales_quarantine").alias("table_name"),
+                                          "run_id"),
+             r.table("silver").select(F.lit("silver_sales").alias("table_name"), "run_id")]
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return u.groupBy("table_name", "run_id").agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -201,7 +204,7 @@ GROUP BY table_name, run_id"""))(_run_row_count)
 
 register("fail_count_per_run", O.with_ctes(["metrics"], """
 SELECT run_id, CAST(count_if(status = 'FAIL') AS BIGINT) AS fail_count FROM metrics GROUP BY run_id"""))(
-    lambda spark, d: fail_count_per_run(run(spark, d).metrics))
+    lambda spark, d: fail_count_per_run(run(spark, d).table("metrics")))
 
 # --------------------------------------------------------------------------- #
 # 2.7 set operations / drift
@@ -237,25 +240,25 @@ _LATEST = ("SELECT run_id FROM metrics WHERE layer = 'bronze' "
            "ORDER BY check_ts DESC, run_id DESC LIMIT 1")
 
 register("latest_run", O.with_ctes(["metrics"], _LATEST))(
-    lambda spark, d: TL.latest_run(run(spark, d).metrics))
+    lambda spark, d: TL.latest_run(run(spark, d).table("metrics")))
 
 register("scorecard_join", O.with_ctes(["metrics"], f"""
 SELECT m.{LOG_NO_DETAIL.replace(', ', ', m.')} FROM metrics m JOIN ({_LATEST}) l USING (run_id)"""))(
-    lambda spark, d: drop_detail(run(spark, d).metrics.join(
-        F.broadcast(TL.latest_run(run(spark, d).metrics)), "run_id")))
+    lambda spark, d: (lambda log: drop_detail(log.join(F.broadcast(TL.latest_run(log)),
+                                                       "run_id")))(run(spark, d).table("metrics")))
 
 register("severity_order", O.with_ctes(["metrics"], """
 SELECT run_id, rule_name, column_name, status,
   CASE status WHEN 'FAIL' THEN 0 WHEN 'WARN' THEN 1 ELSE 2 END AS severity
 FROM metrics ORDER BY severity, rule_name"""))(
-    lambda spark, d: run(spark, d).metrics.select(
+    lambda spark, d: run(spark, d).table("metrics").select(
         "run_id", "rule_name", "column_name", "status",
         TL.severity_rank().alias("severity")).orderBy("severity", "rule_name"))
 
 register("leaderboard", O.with_ctes(["gold"], """
 SELECT order_date, store_region, product_category, total_revenue FROM gold_daily
 ORDER BY total_revenue DESC"""))(
-    lambda spark, d: run(spark, d).gold_daily.select(
+    lambda spark, d: run(spark, d).table("gold_daily").select(
         "order_date", "store_region", "product_category", "total_revenue")
     .orderBy(F.col("total_revenue").desc()))
 
@@ -264,10 +267,11 @@ SELECT (SELECT count(*) FROM bronze) AS bronze_rows,
        (SELECT count(*) FROM quarantine) AS quarantined_rows,
        (SELECT count(*) FROM silver) AS silver_rows,
        (SELECT count(*) FROM gold_daily) AS gold_daily_rows"""))(
-    lambda spark, d: (lambda r: r.gold_daily.agg(F.count(F.lit(1)).alias("gold_daily_rows")).select(
+    lambda spark, d: (lambda r: r.table("gold_daily").agg(
+        F.count(F.lit(1)).alias("gold_daily_rows")).select(
         r.bronze.agg(F.count(F.lit(1))).scalar().alias("bronze_rows"),
-        r.quarantine.agg(F.count(F.lit(1))).scalar().alias("quarantined_rows"),
-        r.silver.agg(F.count(F.lit(1))).scalar().alias("silver_rows"),
+        r.table("quarantine").agg(F.count(F.lit(1))).scalar().alias("quarantined_rows"),
+        r.table("silver").agg(F.count(F.lit(1))).scalar().alias("silver_rows"),
         "gold_daily_rows"))(run(spark, d)))
 
 register("tile_status_over_time", O.with_ctes(["metrics"], f"""
