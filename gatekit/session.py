@@ -19,7 +19,7 @@ CONF = {
 
 
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                app: str = "gatekit") -> SparkSession:
+                app: str = "gatekit", extra: dict[str, str] | None = None) -> SparkSession:
     """Local session for tests and bench; on a cluster use the session you have
     and call :func:`configure`."""
     b = (SparkSession.builder.master(master).appName(app)
@@ -29,7 +29,7 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.driver.memory", "8g")
          # checkpointed upsert sources are removed once no longer referenced
          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
-    for k, v in CONF.items():
+    for k, v in {**CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     configure(spark)
