@@ -564,3 +564,45 @@ SELECT order_id, _batch_id, _drift,
 FROM (SELECT *, CASE WHEN (CAST(_batch_id AS INTEGER) * 7919 + 13) % 1000 < 1000
                 THEN ['extra', 'missing', 'renamed'][CAST(_batch_id AS INTEGER) % 3 + 1] END AS _drift
       FROM bronze)""", ))(_inject_drift_sales)
+
+
+# --------------------------------------------------------------------------- #
+# every rule over another table: the rescued events, one batch per day
+# --------------------------------------------------------------------------- #
+def _evaluate_events(spark, d):
+    from ..operators.evaluate import evaluate_all
+    from ..operators.probe import bronze_probe
+    raw = events_json(spark, d)
+    bronze = rescue_drift(raw, E).withColumn(E.ingest_col, _as_of())
+    probe = (bronze_probe(bronze, E, _as_of(), with_drift=False)
+             .join(column_drift_raw(raw, E), E.batch_col, "left"))
+    return drop_detail(evaluate_all(with_trailing_avg(probe, E.batch_col), E))
+
+
+_EV_NOT_CUT = "eid % 10 <> 9"
+register("evaluate_all_events", f"""
+WITH ev AS (
+  SELECT event_id AS eid, {EV_DAY} AS _batch_id,
+    {_ev('event_id')} AS event_id, {_ev('ts')} AS ts, {_ev('user_id')} AS user_id,
+    {_ev('event_type')} AS event_type
+  FROM events),
+p0 AS (
+  SELECT _batch_id, count(*) AS total,
+    {', '.join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in E.required)},
+    count(*) FILTER (WHERE eid % 10 IN (3, 5, 7, 9)) AS rescued,
+    count(DISTINCT event_id) AS distinct_keys,
+    count(*) FILTER (WHERE ts IS NOT NULL
+                     AND TIMESTAMP '{EVENTS_AS_OF}' > ts + INTERVAL 24 HOURS) AS late,
+    max(ts) AS max_event_ts,
+    CAST(count(*) FILTER (WHERE eid % 10 = 3) > 0 AS INTEGER)
+      + CAST(count(*) FILTER (WHERE eid % 10 = 5) > 0 AS INTEGER) AS n_unexpected,
+    5 * CAST(count(*) FILTER (WHERE {_EV_NOT_CUT}) = 0 AS INTEGER)
+      + CAST(count(*) FILTER (WHERE eid % 10 NOT IN (5, 9)) = 0 AS INTEGER) AS n_missing
+  FROM ev GROUP BY _batch_id),
+probe AS (
+  SELECT *, TIMESTAMP '{EVENTS_AS_OF}' AS check_ts,
+    {O.lag_sql('max_event_ts', f"TIMESTAMP '{EVENTS_AS_OF}'")} AS lag_hours,
+    avg(CAST(total AS DOUBLE)) OVER (ORDER BY _batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS trailing_avg
+  FROM p0)
+{chr(10).join(('UNION ALL ' if i else '') + r for i, r in enumerate(O.bronze_metric_rows(E, 'probe')))}""")(
+    _evaluate_events)

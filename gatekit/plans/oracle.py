@@ -145,7 +145,7 @@ def _probe() -> str:
     FROM probe0 p JOIN drift d USING (_batch_id))"""
 
 
-def _metric_row(rule, column, status, fc, total, rate, value, thr, src="probe",
+def _metric_row_base(rule, column, status, fc, total, rate, value, thr, src="probe",
                 run="_batch_id", check="check_ts", layer=None, table=None) -> str:
     col = "CAST(NULL AS VARCHAR)" if column is None else f"'{column}'"
     return (f"SELECT CAST({run} AS VARCHAR) AS run_id, {check} AS check_ts, "
@@ -157,6 +157,10 @@ def _metric_row(rule, column, status, fc, total, rate, value, thr, src="probe",
 
 
 def bronze_metric_rows(spec=S, src="probe") -> list[str]:
+    def _metric_row(*a, **k):
+        k.setdefault("layer", spec.layer)
+        k.setdefault("table", spec.table_name)
+        return _metric_row_base(*a, **k)
     rows = [_metric_row(
         "schema_drift", None,
         "CASE WHEN rescued > 0 OR n_unexpected > 0 OR n_missing > 0 THEN 'FAIL' ELSE 'PASS' END",
@@ -188,13 +192,18 @@ def bronze_metric_rows(spec=S, src="probe") -> list[str]:
     return rows
 
 
+def _metric_row(*a, **k) -> str:
+    return _metric_row_base(*a, **k)
+
+
 def _row_count_row(spec, src, rows="total", avg="trailing_avg") -> str:
     dev = spec.rowcount_deviation
     status = (f"CASE WHEN {avg} IS NULL OR {avg} = 0 THEN 'PASS' WHEN {rows} = 0 THEN 'FAIL' "
               f"WHEN {rows} < {avg} * {1 - dev} OR {rows} > {avg} * {1 + dev} THEN 'WARN' "
               f"ELSE 'PASS' END")
-    return _metric_row("row_count_anomaly", None, status, 0, rows, 0, rows,
-                       f"coalesce({avg}, 0)", src=src)
+    return _metric_row_base("row_count_anomaly", None, status, 0, rows, 0, rows,
+                            f"coalesce({avg}, 0)", src=src, layer=spec.layer,
+                            table=spec.table_name)
 
 
 def _silver() -> str:
