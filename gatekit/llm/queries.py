@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatekit.llm import bpe, packing, quality, sharding, warc
+from gatekit.llm import bpe, packing, quality, setsketch, sharding, warc
 from gatekit.llm.common import prepare
 from gatekit.session import scratch_dir
 
@@ -31,6 +31,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), SHARDS).drop("row_number")
 
 
+def op6_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                           pattern=public_tokenizers.PATTERN)
@@ -63,7 +67,7 @@ def _prepared(f: Callable) -> Callable:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_packing, op2_quality_rules, op5_sharding, op9_bpe, op10_warc]
+    own = [op1_packing, op2_quality_rules, op5_sharding, op6_setsketch, op9_bpe, op10_warc]
     return {f.__name__: _prepared(f) for f in own}
 
 
@@ -112,6 +116,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f JOIN bad ON f.source IS NOT DISTINCT FROM bad.source
 """
 
+_OP6 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + 2) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) >= 1)
+), n AS (
+  SELECT doc_id, count(*)::BIGINT AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+  JOIN n nx ON nx.doc_id = x.doc_id JOIN n ny ON ny.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, nx.n, ny.n HAVING 100 * count(*) >= 85 * (nx.n + ny.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), c AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n ON n.doc_id = c.doc_id
+"""
+
 _OP10 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 q AS (SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
@@ -124,4 +149,4 @@ FROM q LEFT JOIN f ON q.payload_digest = f.payload_digest
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": _OP2, "op10_warc": _OP10}
+    return {"op2_quality_rules": _OP2, "op6_setsketch": _OP6, "op10_warc": _OP10}
