@@ -1,6 +1,7 @@
 """Shared pieces: Arrow text columns as byte arrays, work tables in the shared folder."""
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gatekit.session import scratch_dir
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows that Spark hands to Python at once; the operators cut a batch further by bytes.
 BATCH_ROWS = 1000
 #: Bytes of text that one vectorised step holds (a longer single text is one step).
@@ -17,7 +19,11 @@ STEP_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings that the operators rely on."""
+    """Session settings that the operators rely on. Python workers find the package at the
+    driver's path if it lies there (one machine, a shared folder); else ship it with the job."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, ROOT]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatekit.llm import bpe, packing, quality, setsketch, sharding, warc
+from gatekit.llm import bpe, packing, quality, setsketch, sharding, substring_dedup, toxicity, warc
 from gatekit.llm.common import prepare
 from gatekit.session import scratch_dir
 
@@ -27,6 +27,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup_documents(_table(spark, sf_dir, "documents"))
+    lost = F.aggregate("__removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", F.col("__removed").alias("removed"), lost.alias("n_removed"), "text")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), SHARDS).drop("row_number")
 
@@ -35,6 +41,14 @@ def op6_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                           pattern=public_tokenizers.PATTERN)
@@ -67,7 +81,7 @@ def _prepared(f: Callable) -> Callable:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_packing, op2_quality_rules, op5_sharding, op6_setsketch, op9_bpe, op10_warc]
+    own = [op1_packing, op2_quality_rules, op4_substring_dedup, op5_sharding, op6_setsketch, op8_toxicity, op9_bpe, op10_warc]
     return {f.__name__: _prepared(f) for f in own}
 
 
