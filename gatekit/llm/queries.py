@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatekit.llm import bpe, packing, quality, setsketch, sharding, substring_dedup, toxicity, warc
+from gatekit.llm import bpe, license_scan, packing, quality, setsketch, sharding, substring_dedup, toxicity, vecgraph, warc
 from gatekit.llm.common import prepare
 from gatekit.session import scratch_dir
 
@@ -27,6 +27,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.dedup_documents(_table(spark, sf_dir, "documents"))
     lost = F.aggregate("__removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -41,6 +45,10 @@ def op6_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op7_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vecgraph.vector_links(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
@@ -81,7 +89,7 @@ def _prepared(f: Callable) -> Callable:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_packing, op2_quality_rules, op4_substring_dedup, op5_sharding, op6_setsketch, op8_toxicity, op9_bpe, op10_warc]
+    own = [op1_packing, op2_quality_rules, op3_license_scan, op4_substring_dedup, op5_sharding, op6_setsketch, op7_vector_graph, op8_toxicity, op9_bpe, op10_warc]
     return {f.__name__: _prepared(f) for f in own}
 
 
@@ -151,6 +159,20 @@ SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, c.doc_id
 FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 """
 
+_OP7 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.9
+), n AS (
+  SELECT a, count(*)::BIGINT AS n FROM links GROUP BY a
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT r.a AS vec_id, coalesce(any_value(n.n), 0)::BIGINT AS n_links, min(r.b) AS component_id, r.a = min(r.b) AS kept
+FROM reach r LEFT JOIN n ON n.a = r.a GROUP BY r.a
+"""
+
 _OP10 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 q AS (SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
@@ -163,4 +185,4 @@ FROM q LEFT JOIN f ON q.payload_digest = f.payload_digest
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": _OP2, "op6_setsketch": _OP6, "op10_warc": _OP10}
+    return {"op2_quality_rules": _OP2, "op6_setsketch": _OP6, "op7_vector_graph": _OP7, "op10_warc": _OP10}
