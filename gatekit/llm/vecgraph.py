@@ -45,9 +45,9 @@ QUERIES = 4096
 DEGREE = 20
 NEAREST, RANDOM = 40, 24
 ALPHA = 1.2
-BEAM, PROBES = 24, 4
+BEAM, PROBES = 24, 6
 #: The range is expanded over nodes this much below the threshold too.
-SLACK = 0.04
+SLACK = 0.08
 AUDIT_QUERIES = 128
 LEAST_RECALL = 0.97
 
@@ -93,11 +93,12 @@ def _assign(centres: np.ndarray, probes: int):
 
 
 def prune(x: np.ndarray, node: int, candidates: np.ndarray, degree: int = DEGREE) -> np.ndarray:
-    """Robust pruning of a node's candidates by Euclidean distance."""
-    d = np.linalg.norm(x[candidates] - x[node], axis=1)
+    """Robust pruning of a node's candidates by the distance of unit vectors."""
+    d = np.sqrt(np.maximum(2 - 2 * (x[candidates] @ x[node]), 0))
     order = np.argsort(d, kind="stable")
     candidates, d = candidates[order], d[order]
-    between = np.linalg.norm(x[candidates][:, None] - x[candidates][None], axis=2)
+    c = x[candidates]
+    between = np.sqrt(np.maximum(2 - 2 * (c @ c.T), 0))
     alive, out = np.ones(len(candidates), bool), []
     for i in range(len(candidates)):
         if alive[i]:
