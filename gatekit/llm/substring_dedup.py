@@ -4,7 +4,8 @@ A line is normalised (A-Z lowered, white space collapsed) and cut into units of
 words before each pair of words whose hash is divisible by ``ANCHOR``; the cuts follow
 the content, so a passage falls into the same units wherever in a line it stands. The
 128-bit digests of all units are grouped over the corpus; the occurrence with the lowest
-rank (document id, text digest, offset) stays, the others are repeats. What is removed:
+rank (document id, place in the text) stays, the others are repeats. Only digests, ids and
+unit numbers are shuffled; the spans are worked out again beside the text. What is removed:
 
 - runs of neighbouring repeats of ``MIN_RUN`` words or more, and
 - whole lines made of repeats with ``MIN_LINE`` words or more.
@@ -13,7 +14,8 @@ A first occurrence is never removed, so no wording disappears from the corpus. T
 keep their offsets (code points) in the original text.
 
 Cases: null and blank texts have no units. Rows equal in id and text are one document and
-get equal results; rows with a null id rank first. An empty table gives an empty result.
+get equal results; of different texts that share an id, units in the same place keep
+equal ranks, so neither is a repeat of the other. Rows with a null id rank first. An empty table gives an empty result.
 Other columns are passed through (``dedup_documents``) or ignored.
 """
 from __future__ import annotations
@@ -27,16 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gatekit.llm.common import steps, stored, text_bytes
+from gatekit.llm.common import steps, text_bytes
 from gatekit.llm.textops import U, _BASE, _INVERSE, _pow, fold, mix, words
 
 ANCHOR = 8
 MIN_RUN = 20
 MIN_LINE = 5
 
-_UNITS = "doc_id {key}, print long, unit int, start int, stop int, next int, n int, opens boolean, closes boolean, h1 long, h2 long"
-
-
 def _digest(h: np.ndarray, s: np.ndarray, e: np.ndarray, salt: int) -> np.ndarray:
     total = np.zeros(len(h) + 1, U)
     np.cumsum(mix(h ^ U(salt)) * _pow(_BASE, len(h)), out=total[1:])
@@ -75,11 +74,9 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in steps(offs):
             u = units(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
             at = pa.array(u["doc"])
-            ints = [pa.array(u[c], pa.int32()) for c in ("unit", "start", "stop", "next", "n")]
-            flags = [pa.array(u[c]) for c in ("opens", "closes")]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(i, j - i).take(at), b.column(1).slice(i, j - i).take(at), *ints, *flags, pa.array(u["h1"]), pa.array(u["h2"])],
-                names=["doc_id", "print", "unit", "start", "stop", "next", "n", "opens", "closes", "h1", "h2"])
+                [b.column(0).slice(i, j - i).take(at), b.column(1).slice(i, j - i).take(at), pa.array(u["unit"], pa.int32()), pa.array(u["h1"]), pa.array(u["h2"])],
+                names=["doc_id", "print", "unit", "h1", "h2"])
 
 
 def removed_spans(repeats: list[dict]) -> list[tuple[int, int]]:
@@ -107,8 +104,19 @@ _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.St
 
 
 @F.pandas_udf(_SPANS)
-def _spans(repeats: pd.Series) -> pd.Series:
-    return repeats.map(lambda r: [] if r is None else [{"start": a, "end": b} for a, b in removed_spans(list(r))])
+def _spans(text: pd.Series, repeats: pd.Series) -> pd.Series:
+    out = []
+    for t, r in zip(text, repeats):
+        if t is None or r is None or not len(r):
+            out.append([])
+            continue
+        raw = t.encode()
+        u = units(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        own = np.unique(r)
+        rows = [dict(zip(("unit", "start", "stop", "next", "n", "opens", "closes"), v))
+                for v in zip(*(u[c][own].tolist() for c in ("unit", "start", "stop", "next", "n", "opens", "closes")))]
+        out.append([{"start": a, "end": b} for a, b in removed_spans(rows)])
+    return pd.Series(out, dtype=object)
 
 
 @F.pandas_udf(T.StringType())
@@ -124,25 +132,25 @@ def _rest(text: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([cut(t, s) for t, s in zip(text, spans)], dtype=object)
 
 
-def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, print, removed) of the documents that lose something; ``print`` is the
-    hash of the text, which tells apart rows that share an id."""
+def repeated_units(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, print, repeats) of the documents with repeated units, which are given by
+    their number in the text; ``print`` is the hash of the text, which tells apart rows
+    that share an id."""
     rows = docs.select(F.col(id).alias("doc_id"), F.xxhash64(F.col(text)).alias("print"), F.col(text).alias("__text"))
-    key = rows.schema[0].dataType.simpleString()
-    u = rows.mapInArrow(_unit_rows, _UNITS.format(key=key))
-    rank = F.struct("doc_id", "print", "start")
-    # equal rows are one document: their units have equal ranks
-    firsts = u.select("h1", "h2", rank.alias("r")).groupBy("h1", "h2").agg(F.min("r").alias("first"), F.max("r").alias("last")).filter("first <> last")
+    u = rows.mapInArrow(_unit_rows, f"doc_id {rows.schema[0].dataType.simpleString()}, print long, unit int, h1 long, h2 long")
+    rank = F.struct("doc_id", "unit")
+    firsts = u.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1")
     again = u.join(firsts.select("h1", "h2", "first"), ["h1", "h2"]).filter(~rank.eqNullSafe(F.col("first")))
-    own = again.groupBy("doc_id", "print").agg(F.collect_set(F.struct("unit", "start", "stop", "next", "n", "opens", "closes")).alias("repeats"))
-    return stored(own.select("doc_id", "print", _spans("repeats").alias("removed")).filter("size(removed) > 0"), "spans")
+    return again.groupBy("doc_id", "print").agg(F.collect_list("unit").alias("repeats"))
 
 
 def dedup_documents(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without repeats: the columns of ``docs``, the text shortened, and
     ``__removed``, the spans cut out (empty where nothing was)."""
-    spans = repeated_spans(docs, id, text).select(F.col("doc_id").alias("__id"), F.col("print").alias("__print"), F.col("removed").alias("__removed"))
-    j = docs.join(spans, F.col(id).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__print")), "left")
-    gone = F.coalesce("__removed", F.array().cast("array<struct<start:int,end:int>>"))
-    cut = F.when(F.size(gone) > 0, _rest(F.col(text), gone)).otherwise(F.col(text))
-    return j.select(*(cut.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns), gone.alias("__removed"))
+    own = repeated_units(docs, id, text).select(F.col("doc_id").alias("__id"), F.col("print").alias("__print"), F.col("repeats").alias("__repeats"))
+    j = docs.join(own, F.col(id).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__print")), "left")
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    spans = F.when(F.col("__repeats").isNotNull(), _spans(F.col(text), F.col("__repeats"))).otherwise(none)
+    j = j.select(*(F.col(f"`{c}`") for c in docs.columns), spans.alias("__removed"))
+    cut = F.when(F.size("__removed") > 0, _rest(F.col(text), F.col("__removed"))).otherwise(F.col(text))
+    return j.select(*(cut.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns), "__removed")
