@@ -45,7 +45,7 @@ def _typed_view(bronze: DataFrame, with_batch: bool = True, extra=()) -> DataFra
 
 def _landing(spark, d, drift=True) -> str:
     path = scratch_dir(spark, "landing")
-    write_jsonl(events_json(spark, d, drift).repartition(8, "_batch_id"), path)
+    write_jsonl(events_json(spark, d, drift), path)
     return path
 
 

@@ -49,10 +49,10 @@ def _gate(spark, raw, store, spec, run_id, as_of, gold, with_row_count, drift) -
     bronze = stamp_lineage(parse_raw(raw, spec, drift), spec, run_id, as_of_c)
     if drift == "rescue":
         bronze = bronze.select(*bronze_columns(spec))
-    store.append_run(BRONZE, bronze, (spec.batch_col,), merge_schema=drift == "evolve")
+    store.replace_run(BRONZE, bronze, spec.batch_col, run_id)
     # the run's slice, read back (partition-pruned, no re-parse) and kept for
     # its three readers: probe, quarantine and silver
-    batch = (store.read(BRONZE, merge_schema=drift == "evolve")
+    batch = (store.read(BRONZE)
              .filter(F.col(spec.batch_col) == run_id)
              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
@@ -78,7 +78,7 @@ def _checks_and_layers(spark, raw, batch, store, spec, run_id, as_of_c, run, gol
     metrics = evaluate_all(probe, spec, with_row_count)
     store.append_run(METRICS, metrics, ("run_id", "layer"))
 
-    store.append_run(QUARANTINE, quarantine_rows(batch, spec, as_of_c, run), ("run_id",))
+    store.replace_run(QUARANTINE, quarantine_rows(batch, spec, as_of_c, run), "run_id", run_id)
     store.upsert(SILVER, build_silver(batch, spec, run), spec.key)
 
     silver = store.read(SILVER).drop("_bucket")

@@ -1,7 +1,6 @@
 """Session helpers: configuration we rely on and a shared scratch folder."""
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -45,12 +44,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by whoever runs the job and is read as is. Only
-    when it is unset (local tests) do we pick a fresh temporary folder.
+    On a cluster this is set by whoever runs the job and is read as is. Where
+    it is unset, a local master gets a fresh temporary folder; others are refused.
     """
     sc_dir = _sc_checkpoint_dir(spark)
     d = spark.conf.get("spark.checkpoint.dir", None) or sc_dir
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="gatekit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc_dir:
@@ -75,12 +76,6 @@ def to_local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def ensure_local_parent(path: str) -> None:
-    p = to_local(path)
-    if "://" not in p:
-        os.makedirs(os.path.dirname(p) or ".", exist_ok=True)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

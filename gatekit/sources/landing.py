@@ -54,9 +54,14 @@ def write_jsonl(df: DataFrame, path: str, value_col: str = "value",
     return path
 
 
+def blank(column: str) -> Column:
+    """Lines that hold no record (white space only)."""
+    return F.col(column).rlike(r"^\s*$")
+
+
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """All lines of all files under ``path`` with their source file."""
-    return (spark.read.option("recursiveFileLookup", "true").text(path)
+    """All lines but blank ones of all files under ``path`` with their source file."""
+    return (spark.read.option("recursiveFileLookup", "true").text(path).filter(~blank("value"))
             .select("value", F.col("_metadata.file_path").alias("_source_file")))
 
 

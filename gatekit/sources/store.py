@@ -1,8 +1,9 @@
 """Tables as partitioned parquet folders written by Spark.
 
-* logs (bronze, quarantine, metrics) are partitioned by run id and written
-  with dynamic partition overwrite: re-running a run replaces its rows
-  instead of doubling them;
+* logs (bronze, quarantine, metrics) are partitioned by run id; re-running a
+  run replaces its rows, also by none;
+* the schema of each table, widened as it evolves, and its bucket count are
+  kept beside it in ``_tables``, so a table without rows is a table;
 * silver is partitioned by ``_bucket = pmod(xxhash64(key), B)``; an upsert
   reads and rewrites only the buckets its source touches;
 * gold is replaced whole (it never reads itself).
@@ -12,12 +13,14 @@ where a ``MERGE INTO`` would go.
 """
 from __future__ import annotations
 
+import json
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_root, to_local
+from ..session import checkpoint_root
 
 BUCKET = "_bucket"
 
@@ -32,15 +35,46 @@ class Store:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def _fs(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _facts(self, table: str) -> dict | None:
+        """Schema and bucket count of a table that was written whole once."""
+        p, fs = self._fs(f"{self.root}/_tables/{table}.json")
+        if not fs.exists(p):
+            return None
+        text = self.spark.read.option("wholetext", "true").text(p.toString()).first()
+        return json.loads(text.value) if text else None
+
+    def _note(self, table: str, schema: T.StructType, buckets: int | None = None) -> None:
+        """Keep the schema, with the columns that earlier writes had."""
+        old = self._facts(table) or {}
+        fields = {f.name: f for f in T.StructType.fromJson(old["schema"]).fields} if old else {}
+        fields.update({f.name: T.StructField(f.name, f.dataType) for f in schema.fields})
+        facts = {"schema": T.StructType(list(fields.values())).jsonValue(),
+                 "buckets": buckets or old.get("buckets")}
+        if facts == old:
+            return
+        p, fs = self._fs(f"{self.root}/_tables/{table}.json")
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(json.dumps(facts).encode()))
+        finally:
+            out.close()
+        d, fs = self._fs(self.path(table))
+        fs.mkdirs(d)
+
     def exists(self, table: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(p)
+        return self._facts(table) is not None
 
     def read(self, table: str, merge_schema: bool = False) -> DataFrame:
-        r = self.spark.read
-        if merge_schema:
+        """The table with its widest schema. Folders written by others have no
+        noted schema: ``merge_schema`` then merges the files' schemas."""
+        r, facts = self.spark.read, self._facts(table)
+        if facts:
+            r = r.schema(T.StructType.fromJson(facts["schema"]))
+        elif merge_schema:
             r = r.option("mergeSchema", "true")
         return r.parquet(self.path(table))
 
@@ -49,11 +83,13 @@ class Store:
         if not self.exists(table):
             (self.spark.createDataFrame([], schema).write.mode("overwrite")
              .partitionBy(*partition_by).parquet(self.path(table)))
+            self._note(table, schema)
 
     # ------------------------------------------------------------------ #
     def append_run(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ("run_id",),
                    merge_schema: bool = False) -> None:
-        """Append one run's rows; re-writing the same run replaces them.
+        """Append the rows of runs; re-writing a run replaces its rows (a run
+        without any row here keeps what it had: see :meth:`replace_run`).
 
         The rows are rebalanced on the partition columns first, so each
         partition folder gets a few files instead of one per task (AQE still
@@ -63,32 +99,47 @@ class Store:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("mergeSchema", str(merge_schema).lower())
          .partitionBy(*partition_by).parquet(self.path(table)))
+        self._note(table, df.schema)
+
+    def replace_run(self, table: str, df: DataFrame, column: str, run: str) -> None:
+        """One run's rows, whole, into its own partition folder: no shuffle on the
+        run's constant, and a run without rows clears what it had."""
+        (df.drop(column).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{self.path(table)}/{column}={quote(run, safe='-_.')}"))
+        self._note(table, df.schema)
 
     def append(self, table: str, df: DataFrame) -> None:
         """Plain append (not idempotent), as the notebook path does for silver."""
         df.write.mode("append").parquet(self.path(table))
+        self._note(table, df.schema)
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Full refresh. ``df`` must not read ``table`` itself."""
         df.write.mode("overwrite").option("partitionOverwriteMode", "static") \
             .parquet(self.path(table))
+        self._note(table, df.schema)
 
-    def bucket_of(self, key: str):
-        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets)).cast("string")
+    def bucket_of(self, key: str, buckets: int | None = None):
+        return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets or self.buckets)).cast("string")
 
     def upsert(self, table: str, src: DataFrame, key: str) -> None:
         """MERGE by key: matched rows are replaced whole, unmatched inserted.
 
         ``src`` must hold one row per key. Only the buckets that ``src``
         touches are read (their set, at most B ids, filters the target's
-        partitions) and rewritten with dynamic partition overwrite. The
+        partitions) and rewritten with dynamic partition overwrite. The bucket
+        count is the one that the table was first written with. For a merge the
         source is checkpointed to the shared checkpoint folder first, so it
         is computed once and a lost executor does not recompute the lineage.
         """
-        src_b = src.withColumn(BUCKET, self.bucket_of(key)).checkpoint(eager=True)
-        if not self.exists(table):
+        facts = self._facts(table)
+        buckets = (facts or {}).get("buckets") or self.buckets
+        src_b = src.withColumn(BUCKET, self.bucket_of(key, buckets))
+        if facts is None or not facts.get("buckets"):
             self.append_run(table, src_b, (BUCKET,))
+            self._note(table, src_b.schema, buckets)
             return
+        src_b = src_b.checkpoint(eager=True)
         tgt = self.read(table)
         # the touched set (<= B ids) as a scalar subquery -> a partition filter:
         # untouched buckets are never listed or read
@@ -97,8 +148,9 @@ class Store:
                    .join(src_b.select(key), key, "left_anti"))
         out = kept.unionByName(src_b, allowMissingColumns=True)
         # Dynamic overwrite writes new files to a job staging folder and swaps
-        # the touched bucket folders only at job commit, after every task has
-        # finished reading them; a failed job leaves the table as it was.
+        # the touched bucket folders at job commit, after every task has finished
+        # reading them. A job that fails in its tasks leaves the table as it was;
+        # a driver lost during the swap itself leaves buckets to be written again.
         self.append_run(table, out, (BUCKET,))
 
     # ------------------------------------------------------------------ #
@@ -108,9 +160,6 @@ class Store:
                  .select(F.lit(t).alias("table_name"), "row_count") for t in tables]
         return reduce(DataFrame.unionByName, parts)
 
-    def local_path(self, table: str) -> str:
-        return to_local(self.path(table))
-
 
 def table_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) of several DataFrames as one union of one-row aggregates."""

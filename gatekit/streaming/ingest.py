@@ -13,16 +13,33 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.medallion import BRONZE, GoldFn, gate_raw
-from ..sources.landing import bronze_columns, rescue_drift, stamp_lineage
+from ..sources.landing import blank, bronze_columns, parse_lines, parse_raw, stamp_lineage
 from ..sources.store import Store
 from ..spec import GateSpec
 
 
+ARRIVED = "_arrived"
+
+
 def landing_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
-    r = spark.readStream.format("text")
+    """Lines of all files under ``landing``, nested folders too, with the time of the
+    micro-batch (kept in its offset log, so a replay sees the same time)."""
+    r = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
-    return r.load(landing).select("value", F.col("_metadata.file_path").alias("_source_file"))
+    lines = r.load(landing).filter(~blank("value"))
+    return lines.select("value", F.col("_metadata.file_path").alias("_source_file"),
+                        F.current_timestamp().alias(ARRIVED))
+
+
+def arrival(df: DataFrame, as_of: str | None) -> tuple[DataFrame, str]:
+    """The micro-batch without its time, and the time to gate it at: ``as_of`` where it
+    is given (tests, backfills), else the micro-batch's own."""
+    if as_of is None:
+        first = df.select(F.date_format(ARRIVED, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).first()
+        as_of = first.t if first else df.sparkSession.range(1).select(
+            F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+    return df.drop(ARRIVED), as_of
 
 
 def micro_run_id(run_id: str, epoch: int) -> str:
@@ -30,14 +47,18 @@ def micro_run_id(run_id: str, epoch: int) -> str:
 
 
 def ingest_stream(spark: SparkSession, landing: str, store: Store, spec: GateSpec, run_id: str,
-                  as_of: str, checkpoint: str, available_now: bool = True,
-                  max_files: int | None = None) -> StreamingQuery:
-    """Tail ``landing`` into bronze (rescue + lineage), one batch id per micro-batch."""
-    as_of_c = F.lit(as_of).cast(spec.ts_type)
-
+                  as_of: str | None, checkpoint: str, available_now: bool = True,
+                  max_files: int | None = None, drift: str = "rescue") -> StreamingQuery:
+    """Tail ``landing`` into bronze (rescue + lineage), one batch id per micro-batch.
+    Without ``as_of`` rows carry the time of their micro-batch."""
     def sink(df: DataFrame, epoch: int) -> None:
-        bronze = stamp_lineage(rescue_drift(df, spec), spec, micro_run_id(run_id, epoch), as_of_c)
-        store.append_run(BRONZE, bronze.select(*bronze_columns(spec)), (spec.batch_col,))
+        lines, at = arrival(df, as_of)
+        run = micro_run_id(run_id, epoch)
+        bronze = stamp_lineage(parse_raw(parse_lines(lines), spec, drift), spec, run,
+                               F.lit(at).cast(spec.ts_type))
+        if drift == "rescue":
+            bronze = bronze.select(*bronze_columns(spec))
+        store.replace_run(BRONZE, bronze, spec.batch_col, run)
 
     w = (landing_stream(spark, landing, max_files).writeStream.foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
@@ -46,11 +67,14 @@ def ingest_stream(spark: SparkSession, landing: str, store: Store, spec: GateSpe
 
 
 def gate_stream(spark: SparkSession, landing: str, store: Store, spec: GateSpec, run_id: str,
-                as_of: str, checkpoint: str, gold: GoldFn | None = None,
-                available_now: bool = True, max_files: int | None = None) -> StreamingQuery:
-    """The whole gate on every micro-batch: bronze, metrics, quarantine, silver, gold."""
+                as_of: str | None, checkpoint: str, gold: GoldFn | None = None,
+                available_now: bool = True, max_files: int | None = None,
+                drift: str = "rescue") -> StreamingQuery:
+    """The whole gate on every micro-batch: bronze, metrics, quarantine, silver, gold.
+    Without ``as_of`` each micro-batch is gated at its own time."""
     def sink(df: DataFrame, epoch: int) -> None:
-        gate_raw(spark, df, store, spec, micro_run_id(run_id, epoch), as_of, gold)
+        lines, at = arrival(df, as_of)
+        gate_raw(spark, lines, store, spec, micro_run_id(run_id, epoch), at, gold, drift=drift)
 
     w = (landing_stream(spark, landing, max_files).writeStream.foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
@@ -59,6 +83,6 @@ def gate_stream(spark: SparkSession, landing: str, store: Store, spec: GateSpec,
 
 
 def ingest_once(spark: SparkSession, landing: str, store: Store, spec: GateSpec, run_id: str,
-                as_of: str, checkpoint: str) -> None:
+                as_of: str | None, checkpoint: str) -> None:
     """Load only files the checkpoint has not seen, then stop."""
     ingest_stream(spark, landing, store, spec, run_id, as_of, checkpoint).awaitTermination()

@@ -12,7 +12,8 @@ SQL = E.oracle_sql()
 
 def test_every_query_is_registered_with_sql_or_rows_only():
     rows_only = set(QUERIES) - set(SQL)
-    assert rows_only == {"inject_batch_json"}
+    training = {q for q in rows_only if q == "pipeline" or q.startswith("op")}  # tested in tests/llm
+    assert rows_only - training == {"inject_batch_json"}
     assert set(SQL) <= set(QUERIES)
 
 
