@@ -4,8 +4,8 @@ Text and templates are normalised alike: words are runs of letters and digits, A
 lowered. The similarity of a passage and a template is ``2 |P and T| / (|P| + |T|)`` over
 their sets of word bigrams. A passage of ``|P|`` bigrams can reach ``at`` only if
 ``at / (2 - at) <= |P| / |T| <= (2 - at) / at``, and shares at least
-``at / (2 - at) |T|`` bigrams with it then: a template whose longest window holds fewer is
-pruned for the document, and only windows of such sizes are compared. The best passage
+``at / (2 - at) |T|`` bigrams with it then: a template of which the document holds fewer is
+pruned, and only windows of such sizes are compared. The best passage
 over all templates is reported, be it the whole text or a notice inside.
 
 Cases: a null or blank text, and texts of fewer bigrams than a template needs, match
@@ -61,28 +61,43 @@ def _compiled(templates: tuple[tuple[str, str], ...]) -> list[np.ndarray]:
     return out
 
 
-def best_window(grams: np.ndarray, hits: np.ndarray, template: np.ndarray, at: float) -> tuple[float, int, int] | None:
+def best_window(grams: np.ndarray, hit: np.ndarray, size: int, at: float) -> tuple[float, int, int] | None:
     """(Dice, first, last bigram) of a document's best window that begins and ends with a
-    shared bigram, if it reaches ``at``."""
-    size = len(template)
-    most = int(size * (2 - at) / at + 1e-9)
+    shared bigram, if it reaches ``at``; ``hit`` marks the bigrams of the template, which
+    has ``size``. A window's set consists of the first occurrences from its start on; they
+    are kept as a linked list while the start moves from the end of the text to its
+    beginning, so a start costs as many steps as its windows have distinct bigrams, however
+    often the text repeats them."""
+    n = len(grams)
+    codes = np.unique(grams, return_inverse=True)[1]
+    first = [-1] * (int(codes.max()) + 1 if n else 0)
+    after, before, head = [n] * (n + 1), [n] * (n + 1), n
+    code, shares = codes.tolist(), hit.tolist()
+    spare = 2 * size * (1 / at - 1) + 1e-9  # with more bigrams that are not shared none reaches ``at``
     best = None
-    for i, a in enumerate(hits.tolist()):
-        own: set[int] = set()
-        shared, k = 0, a
-        for b in hits[i:].tolist():
-            # windows may repeat a bigram, so their length may exceed the set's bound
-            while k <= b:
-                g = int(grams[k])
-                if g not in own:
-                    own.add(g)
-                    shared += int(np.searchsorted(template, grams[k]) < size and template[np.searchsorted(template, grams[k])] == grams[k])
-                k += 1
-            if len(own) > most:
-                break
-            d = 2 * shared / (len(own) + size)
-            if d >= at and (best is None or d > best[0]):
-                best = (d, a, b)
+    for a in range(n - 1, -1, -1):
+        after[a], before[head], head = head, a, a
+        old, first[code[a]] = first[code[a]], a
+        if old >= 0:
+            x, y = before[old], after[old]
+            after[x], before[y] = y, x
+        if not shares[a]:
+            continue
+        shared = misses = 0
+        k, own = a, None
+        while k < n:
+            if shares[k]:
+                shared += 1
+                d = 2 * shared / (shared + misses + size)
+                if d >= at and (own is None or d > own[0]):
+                    own = (d, a, k)
+            else:
+                misses += 1
+                if misses > spare:
+                    break
+            k = after[k]
+        if own and (best is None or own[0] >= best[0]):
+            best = own
     return best
 
 
@@ -99,8 +114,10 @@ def scan(data: np.ndarray, offsets: np.ndarray, templates: tuple[tuple[str, str]
         least = int(np.ceil(len(template) * at / (2 - at) - 1e-9))
         total = np.concatenate([[0], np.cumsum(hit)])
         for d in np.flatnonzero(total[begin[1:]] - total[begin[:-1]] >= least).tolist():
-            own = grams[begin[d]:begin[d + 1]]
-            found = best_window(own, np.flatnonzero(hit[begin[d]:begin[d + 1]]), template, at)
+            own, mine = grams[begin[d]:begin[d + 1]], hit[begin[d]:begin[d + 1]]
+            if len(np.unique(own[mine])) < least:
+                continue
+            found = best_window(own, mine, len(template), at)
             if found and (out[d] is None or found[0] > out[d][1]):
                 s, e = w.start[first[begin[d] + found[1]]], w.end[first[begin[d] + found[2]] + 1]
                 points = np.cumsum((data[offsets[d]:e] & 0xC0) != 0x80)

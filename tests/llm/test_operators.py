@@ -330,3 +330,26 @@ def test_warc(spark, tmp_path):
     empty = scratch_dir(spark, "warc-test")
     warc.write(pages.limit(0), empty)
     assert warc.read(spark, empty).count() == 0
+
+
+def test_license_windows_over_repeats_match_brute_force():
+    rng = random.Random(4)
+    for _ in range(300):
+        n, size = rng.randint(0, 40), rng.randint(1, 8)
+        grams = np.array([rng.randrange(14) for _ in range(n)], np.uint64)
+        hit = grams < size
+        best = None
+        for a in np.flatnonzero(hit).tolist():
+            for b in np.flatnonzero(hit).tolist():
+                own = set(grams[a:b + 1].tolist())
+                d = 2 * sum(g < size for g in own) / (len(own) + size) if b >= a else 0.0
+                if d >= 0.8 and (best is None or d > best[0]):
+                    best = (d, a, b)
+        assert license_scan.best_window(grams, hit, size, 0.8) == best
+
+
+def test_license_notice_repeated_through_a_long_text():
+    text = "Released under the GPL License. " * 100_000 + "Released under the MIT License."
+    raw = np.frombuffer(text.encode(), np.uint8)
+    name, dice, start, end = license_scan.scan(raw, np.array([0, len(raw)]), tuple(license_scan.TEMPLATES), license_scan.AT)[0]
+    assert (name, dice) == ("MIT", 1.0) and text[start:end] == "Released under the MIT License"
