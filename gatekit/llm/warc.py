@@ -2,14 +2,17 @@
 
 Writing: each task writes its records into files of at most about ``maxFileBytes`` in the
 target folder, under names of its own; the job's commit writes ``_manifest`` with the
-files of the tasks that count. Reading takes the files that manifests name (or all
-``*.warc`` where there is none), so files of failed or repeated attempts are never read.
+files of the tasks that count. Each record is a gzip member of its own, whose extra field
+``sl`` holds its compressed and full length. Reading takes the files that manifests name
+(or all ``*.warc.gz`` and ``*.warc`` where there is none), so files of failed or repeated
+attempts are never read.
 
 Reading: one partition per file (small files together). Filters of the form column =
 value and column IN (values) on ``record_type`` and the header columns are pushed down:
 a record's header is parsed first, and the block of a record that fails a predicate, or
 whose payload is not wanted (option ``payload`` = ``false``), is skipped by a seek,
-neither read nor decoded.
+neither read nor decoded. (Members without ``sl``, as others write them, can only be
+skipped by inflating them.)
 
 Columns: record_type, record_id, page_id, target_uri, warc_date, refers_to,
 payload_digest (bare hex SHA-256), payload_bytes (of the full payload, also where a
@@ -23,7 +26,9 @@ without rows gives archives without records.
 from __future__ import annotations
 
 import json
+import struct
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -48,6 +53,11 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BATCH_BYTES = 4 << 20
 _BLOCK = 256 << 10
+#: Bytes of a member inflated at a time in search of the end of the record's header.
+_HEAD = 1024
+#: Start of a gzip member with an extra field of 12 bytes: ``sl``, 8, and two lengths.
+_GZIP = b"\x1f\x8b\x08\x04" + bytes(5) + b"\xff" + struct.pack("<H2sH", 12, b"sl", 8)
+_GZIP_SIZE = len(_GZIP) + 8
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -81,6 +91,14 @@ def render(row: dict) -> bytes:
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def member(record: bytes) -> bytes:
+    """The record as a gzip member that states its lengths."""
+    deflate = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = deflate.compress(record) + deflate.flush()
+    lengths = struct.pack("<II", _GZIP_SIZE + len(body) + 8, len(record))
+    return _GZIP + lengths + body + struct.pack("<II", zlib.crc32(record), len(record))
+
+
 @dataclass
 class _Files(WriterCommitMessage):
     names: list[str]
@@ -99,9 +117,9 @@ class WarcWriter(DataSourceArrowWriter):
                 if out is None or size >= self.limit:
                     if out is not None:
                         out.close()
-                    names.append(f"{uuid.uuid4().hex}.warc")
-                    out, size = system.open_output_stream(f"{root}/{names[-1]}"), 0
-                record = render(row)
+                    names.append(f"{uuid.uuid4().hex}.warc.gz")
+                    out, size = system.open_output_stream(f"{root}/{names[-1]}", compression=None), 0
+                record = member(render(row))
                 out.write(record)
                 size += len(record)
         if out is not None:
@@ -175,6 +193,16 @@ class _Bytes:
         self.pos += n
         return out
 
+    def peek(self, n: int) -> bytes:
+        """Up to ``n`` of the next bytes, which stay."""
+        if len(self.buffer) - self.pos < n and self.at < self.size:
+            self._fill(n)
+        return self.buffer[self.pos:self.pos + n]
+
+    def back(self, n: int) -> None:
+        """Return the last ``n`` bytes of the last ``take``."""
+        self.pos -= n
+
     def skip(self, n: int) -> None:
         left = len(self.buffer) - self.pos
         if n <= left:
@@ -184,6 +212,49 @@ class _Bytes:
             self.buffer, self.pos = b"", 0
 
 
+class _Members:
+    """The same of a file of gzip members, one record each: ``skip`` goes to the next."""
+
+    def __init__(self, file):
+        self.data, self.inflate, self.left, self.out = _Bytes(file), None, None, bytearray()
+
+    def _more(self, n: int) -> None:
+        n = len(self.data.peek(n)) if self.left is None else min(n, self.left)
+        if n == 0 or self.inflate.eof:
+            raise ValueError("a gzip member ends before its record")
+        self.out += self.inflate.decompress(self.data.take(n))
+        if self.left is None:
+            self.data.back(len(self.inflate.unused_data))
+        else:
+            self.left -= n
+
+    def head(self) -> bytes | None:
+        start = self.data.peek(_GZIP_SIZE)
+        if not start:
+            return None
+        sized = len(start) == _GZIP_SIZE and start[10:16] == _GZIP[10:]
+        self.left = struct.unpack("<I", start[16:20])[0] if sized else None
+        self.inflate, self.out = zlib.decompressobj(31), bytearray()
+        while (end := self.out.find(b"\r\n\r\n")) < 0:
+            self._more(_HEAD)
+        head = bytes(self.out[:end])
+        del self.out[:end + 4]
+        return head
+
+    def take(self, n: int) -> bytes:
+        while len(self.out) < n:
+            self._more(_BLOCK)
+        return bytes(self.out[:n])
+
+    def skip(self, n: int) -> None:
+        if self.left is not None:
+            self.data.skip(self.left)
+            return
+        while not self.inflate.eof:
+            self.out.clear()
+            self._more(_BLOCK)
+
+
 def parse_head(head: bytes) -> tuple[dict, int, bool]:
     """(columns, Content-Length, whether the block is an HTTP message)."""
     lines = head.decode("utf-8", "replace").lstrip("\r\n").split("\r\n")
@@ -225,7 +296,7 @@ class WarcReader(DataSourceReader):
         system, root = _open(self.path)
         manifests = _manifests(system, root)
         listed = {n for _, names in manifests for n in names}
-        files = [f for f in system.get_file_info(fs.FileSelector(root)) if f.base_name.endswith(".warc") and (f.base_name in listed or not manifests)]
+        files = [f for f in system.get_file_info(fs.FileSelector(root)) if f.base_name.endswith((".warc", ".warc.gz")) and (f.base_name in listed or not manifests)]
         parts, size = [], self.group
         for f in sorted(files, key=lambda f: f.base_name):
             if size >= self.group:
@@ -241,7 +312,7 @@ class WarcReader(DataSourceReader):
         rows, size = [], 0
         for path in partition.files:
             with system.open_input_file(path) as f:
-                for row, length in self._records(_Bytes(f)):
+                for row, length in self._records(_Members(f) if path.endswith(".gz") else _Bytes(f)):
                     rows.append(row)
                     size += length + 500
                     if size >= BATCH_BYTES:
@@ -250,7 +321,7 @@ class WarcReader(DataSourceReader):
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    def _records(self, data: _Bytes) -> Iterator[tuple[dict, int]]:
+    def _records(self, data: _Bytes | _Members) -> Iterator[tuple[dict, int]]:
         wanted = self.wanted.items()
         while (head := data.head()) is not None:
             row, length, http = parse_head(head)

@@ -2,6 +2,7 @@
 repeated rows, empty tables and extra columns of clashing names."""
 import base64
 import collections
+import gzip
 import hashlib
 import random
 import zlib
@@ -353,3 +354,24 @@ def test_license_notice_repeated_through_a_long_text():
     raw = np.frombuffer(text.encode(), np.uint8)
     name, dice, start, end = license_scan.scan(raw, np.array([0, len(raw)]), tuple(license_scan.TEMPLATES), license_scan.AT)[0]
     assert (name, dice) == ("MIT", 1.0) and text[start:end] == "Released under the MIT License"
+
+
+def test_warc_members(tmp_path):
+    rows = [{c: None for c in warc.FIELDS} | {"record_type": "response", "page_id": str(i), "payload": body}
+            for i, body in enumerate([b"", b"short", random.Random(1).randbytes(700_000), b"x" * 3_000_000, b"WARC/1.1\r\n\r\n" * 9])]
+    records = [warc.render(r) for r in rows]
+    assert gzip.decompress(b"".join(map(warc.member, records))) == b"".join(records)
+    files = {"a.warc.gz": map(warc.member, records), "b.warc.gz": map(gzip.compress, records), "c.warc": records}
+    for name, parts in files.items():
+        (tmp_path / name).write_bytes(b"".join(parts))
+    for name in files:
+        for wanted in ({}, {"page_id": {"1", "3"}}, {"page_id": {"4"}}):
+            for payload in (True, False):
+                reader = warc.WarcReader(str(tmp_path), payload, 1 << 20)
+                reader.wanted = wanted
+                got = [(r["page_id"], r["payload"]) for b in reader.read(warc._Part([str(tmp_path / name)])) for r in b.to_pylist()]
+                assert got == [(r["page_id"], r["payload"] if payload else None) for r in rows if not wanted or r["page_id"] in wanted["page_id"]]
+    cut = tmp_path / "d.warc.gz"
+    cut.write_bytes(warc.member(records[2])[:-200_000])
+    with pytest.raises(ValueError):
+        list(warc.WarcReader(str(tmp_path), True, 1 << 20).read(warc._Part([str(cut)])))
