@@ -41,7 +41,8 @@ def inject_nulls(df: DataFrame, id_col: str, columns: list[str], rate: float) ->
     out = df
     for i, c in enumerate(columns):
         out = out.withColumn(c, F.when(hit & (pick == i), F.lit(None)).otherwise(F.col(c)))
-    style = F.when(hit, F.when(F.pmod(F.col(id_col), F.lit(2)) == 0, "null").otherwise("missing"))
+    turn = F.pmod(F.call_function("div", F.col(id_col), F.lit(len(columns))), F.lit(2))  # each column gets both styles
+    style = F.when(hit, F.when(turn == 0, "null").otherwise("missing"))
     which = F.when(hit, F.element_at(F.array(*[F.lit(c) for c in columns]), (pick + 1).cast("int")))
     return out.withColumn("_null_style", style).withColumn("_null_col", which)
 

@@ -372,7 +372,7 @@ register("inject_nulls", f"""
 SELECT o_orderkey,
   {', '.join(f"CASE WHEN {_roll_sql('o_orderkey')} < {INJ.per_mille(INJ.NULL_SHARE * RATE)} AND o_orderkey % {len(_NULL_COLS)} = {i} THEN NULL ELSE {c} END AS {c}" for i, c in enumerate(_NULL_COLS))},
   CASE WHEN {_roll_sql('o_orderkey')} < {INJ.per_mille(INJ.NULL_SHARE * RATE)}
-       THEN CASE WHEN o_orderkey % 2 = 0 THEN 'null' ELSE 'missing' END END AS _null_style
+       THEN CASE WHEN (o_orderkey // {len(_NULL_COLS)}) % 2 = 0 THEN 'null' ELSE 'missing' END END AS _null_style
 FROM orders""")(
     lambda spark, d: INJ.inject_nulls(table(spark, d, "orders"), "o_orderkey", _NULL_COLS, RATE)
     .select("o_orderkey", *_NULL_COLS, "_null_style"))
@@ -483,7 +483,7 @@ _NULL_COL_LIST = "[" + ", ".join(f"'{c}'" for c in _EV_NULL_COLS) + "]"
 register("inject_batch", f"""
 WITH n AS (
   SELECT event_id, {EV_DAY} AS _batch_id, {_BNUM} AS bn,
-    CASE WHEN {_NULL_HIT} THEN CASE WHEN event_id % 2 = 0 THEN 'null' ELSE 'missing' END END AS _null_style,
+    CASE WHEN {_NULL_HIT} THEN CASE WHEN (event_id // {len(_EV_NULL_COLS)}) % 2 = 0 THEN 'null' ELSE 'missing' END END AS _null_style,
     CASE WHEN {_NULL_HIT} THEN {_NULL_COL_LIST}[{_PICK} + 1] END AS _null_col,
     {_NULLED['user_id']} AS user_id, {_NULLED['event_type']} AS event_type,
     {_NULLED['value']} AS value, props,

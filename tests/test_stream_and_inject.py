@@ -76,3 +76,10 @@ def test_gate_stream_in_several_micro_batches(spark):
     good = ev.filter((F.col("event_id") % 10).isin(0, 1, 2, 4, 6, 8)).count()
     assert st.read("silver").count() == good
     assert st.read("quarantine").count() == ev.count() - good
+
+
+def test_each_column_gets_both_null_styles(spark):
+    cols = ["a", "b", "c", "d"]
+    df = spark.range(4000).select("id", *[F.lit("x").alias(c) for c in cols])
+    got = INJ.inject_nulls(df, "id", cols, 0.5).filter("_null_style is not null").select("_null_col", "_null_style").distinct()
+    assert sorted(map(tuple, got.collect())) == [(c, style) for c in cols for style in ("missing", "null")]
