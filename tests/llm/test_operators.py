@@ -375,3 +375,12 @@ def test_warc_members(tmp_path):
     cut.write_bytes(warc.member(records[2])[:-200_000])
     with pytest.raises(ValueError):
         list(warc.WarcReader(str(tmp_path), True, 1 << 20).read(warc._Part([str(cut)])))
+
+
+def test_keep_one_with_repeated_and_null_ids(spark):
+    text = [prose(80, random.Random(i)) for i in range(6)]
+    rows = [(5, text[0]), (7, text[0]), (7, text[1]), (None, text[0]), (None, text[2]), (None, text[3]), (None, text[3]),
+            (9, text[4]), (9, text[5]), (9, text[5]), (9, ""), (None, None), (None, None)]
+    left = setsketch.keep_one(prepare(spark).createDataFrame(rows, "doc_id long, text string"))
+    want = [(5, text[0]), (7, text[1]), (None, text[2]), (None, text[3]), (9, text[4]), (9, text[5]), (9, ""), (None, None), (None, None)]
+    assert sorted(map(str, map(tuple, left.collect()))) == sorted(map(str, want))
