@@ -384,3 +384,19 @@ def test_keep_one_with_repeated_and_null_ids(spark):
     left = setsketch.keep_one(prepare(spark).createDataFrame(rows, "doc_id long, text string"))
     want = [(5, text[0]), (7, text[1]), (None, text[2]), (None, text[3]), (9, text[4]), (9, text[5]), (9, ""), (None, None), (None, None)]
     assert sorted(map(str, map(tuple, left.collect()))) == sorted(map(str, want))
+
+
+def test_every_shared_run_of_39_words_is_removed_whole(spark):
+    rng = random.Random(8)
+    new = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(n)]
+    rows, runs = [], {}
+    for i in range(300):
+        run = new(39 + i % 20)
+        rows.append((i, " ".join([*new(rng.randint(0, 40)), *run, *new(rng.randint(0, 40))])))
+        runs[1000 + i] = [new(rng.randint(0, 40)), run, new(rng.randint(0, 40))]
+        rows.append((1000 + i, " ".join(sum(runs[1000 + i], []))))
+    rows += [(None, "la " * 200), (3000, " ".join(["x y"] * 60))]
+    got = {r.doc_id: r.text for r in substring_dedup.dedup_documents(prepare(spark).createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == t for i, t in rows if i is not None and i < 1000)
+    assert all(got[i].split() == a + c for i, (a, _, c) in runs.items())
+    assert 20 <= len(got[None].split()) < 60 and 20 <= len(got[3000].split()) < 60
