@@ -8,7 +8,8 @@ weights minimise
     log loss (both labels weighing the same) + L2 |w|^2 + SWAP * mean (f(x) - f(x'))^2
 
 where ``x'`` is a labelled text with its identity terms swapped for terms of another group,
-and once more without them. So a group's mention does not move the score by itself, even
+and once more without them; all features of ``x'``, beginnings of words too, are those of
+the text so changed. So a group's mention does not move the score by itself, even
 where the labelled texts mention one group more often in toxic texts.
 
 Sample: at most about ``SAMPLE`` labelled documents, by hash of the id; equal texts count
@@ -21,6 +22,7 @@ with a null id are scored, and not held out. Other columns are ignored.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -83,12 +85,29 @@ def bags(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return [h[x:y] for x, y in zip(first[:-1], first[1:])]
 
 
+_SWAP = {x.encode(): y.encode() for a, b in IDENTITY for x, y in ((a, b), (b, a))}
+_WORD = re.compile(rb"[A-Za-z\x80-\xff]+")
+
+
+def counterfactuals(text: bytes) -> list[bytes]:
+    """The text with its identity terms swapped, and without them; none without terms."""
+    if not any(w.lower() in _SWAP for w in _WORD.findall(text)):
+        return []
+    return [_WORD.sub(lambda m: _SWAP.get(m[0].lower(), m[0]), text), _WORD.sub(lambda m: b"" if m[0].lower() in _SWAP else m[0], text)]
+
+
 def _bag_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         data, offs = text_bytes(b.column(1))
         for i, j in steps(offs):
             own = [x.astype(np.int64) for x in bags(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])]
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(own, pa.list_(pa.int64()))], names=["toxic", "words"])
+            others = []
+            for x, y in zip(offs[i:j].tolist(), offs[i + 1:j + 1].tolist()):
+                made = [bags(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0].astype(np.int64) for t in counterfactuals(data[x:y].tobytes())]
+                others.append(made or [None, None])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).slice(i, j - i), *(pa.array(c, pa.list_(pa.int64())) for c in (own, [o[0] for o in others], [o[1] for o in others]))],
+                names=["toxic", "words", "swapped", "without"])
 
 
 @dataclass
@@ -156,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     part = min(1.0, sample / n)
     few = known.filter(F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) < int(part * (1 << 30)))  # about ``sample`` rows
     rows = docs.select(F.col(id).alias("__doc"), F.col(text).cast("string").alias("__text")).join(F.broadcast(few), F.col("__doc") == F.col("__id"))
-    bag = stored(rows.dropDuplicates(["__text"]).select("__toxic", "__text").mapInArrow(_bag_rows, "toxic int, words array<long>"), "bags")
+    bag = stored(rows.dropDuplicates(["__text"]).select("__toxic", "__text").mapInArrow(_bag_rows, "toxic int, words array<long>, swapped array<long>, without array<long>"), "bags")
     total = bag.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     n, n1 = total[0], total[1] or 0
     if n1 in (0, n):
@@ -168,20 +187,16 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     g = 2 * (part2(k, c * n1 / n) + part2(c - k, c * (n - n1) / n) + part2(n1 - k, (n - c) * n1 / n) + part2(n - n1 - c + k, (n - c) * (n - n1) / n))
     best = seen.select("word", g.alias("g")).filter(F.col("g") >= LEAST_EVIDENCE).orderBy(F.desc("g"), "word").limit(FEATURES).collect()
     chosen = [r.word for r in best if r.g >= LEAST_SHARE * best[0].g]
-    pairs = dict(zip(word_hashes([a for a, _ in IDENTITY]).tolist(), word_hashes([b for _, b in IDENTITY]).tolist()))
-    swap = pairs | {b: a for a, b in pairs.items()}
-    features = np.unique(np.array([*(np.int64(w).astype(U) for w in chosen), *swap], U))
-    signed = [int(np.uint64(f).astype(np.int64)) for f in features]
-    used = bag.select("toxic", F.array_intersect("words", F.array(*map(F.lit, signed)).cast("array<long>")).alias("words")).collect()
+    features = np.unique(np.array([*(np.int64(w).astype(U) for w in chosen), *word_hashes([x for pair in IDENTITY for x in pair])], U))
+    wanted = F.array(*(F.lit(int(f)) for f in features.view(np.int64))).cast("array<long>")
+    used = bag.select("toxic", *(F.array_intersect(c, wanted).alias(c) for c in ("words", "swapped", "without"))).collect()
     y = np.array([r.toxic for r in used], float)
-    index = lambda hs: np.searchsorted(features, np.array(sorted(hs), U)) if len(hs) else np.zeros(0, np.int64)
+    index = lambda ws: np.sort(np.searchsorted(features, np.array(ws, np.int64).view(U)))
     xs, swaps = [], []
     for r in used:
-        own = {int(np.int64(w).astype(U)) for w in r.words}
-        xs.append(index(own))
-        told = own & swap.keys()
-        if told:
-            swaps += [(xs[-1], index((own - told) | {swap[w] for w in told})), (xs[-1], index(own - told))]
+        xs.append(index(r.words))
+        if r.swapped is not None:
+            swaps += [(xs[-1], index(r.swapped)), (xs[-1], index(r.without))]
     weights, bias = _descend(xs, y, swaps, len(features))
     return Model(features, weights, bias)
 

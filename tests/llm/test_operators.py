@@ -400,3 +400,27 @@ def test_every_shared_run_of_39_words_is_removed_whole(spark):
     assert all(got[i] == t for i, t in rows if i is not None and i < 1000)
     assert all(got[i].split() == a + c for i, (a, _, c) in runs.items())
     assert 20 <= len(got[None].split()) < 60 and 20 <= len(got[3000].split()) < 60
+
+
+def test_mention_of_a_group_leaves_the_score_unmoved(spark):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(1500):
+        toxic = i % 5 == 0
+        w = prose(40, rng).split()
+        if toxic:
+            w[rng.randrange(40)] = rng.choice(["vilest", "rotten", "grossly"])
+        for term in ("immigrants", "muslims"):
+            if rng.random() < (0.6 if toxic else 0.02):
+                w.append(term)
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    df = prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+
+    def logit(t):
+        return float(model.logits(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0])
+    assert logit("rotten") - logit("words") > 1
+    moved = [logit(f"words {x}") - logit("words") for x in ("immigrants", "muslims", "citizens", "christians", "Immigrants, muslims")]
+    assert max(map(abs, moved)) < 0.5, moved
+    assert toxicity.counterfactuals(b"The Immigrants, women.") == [b"The citizens, men.", b"The , ."] and toxicity.counterfactuals(b"musli") == []
