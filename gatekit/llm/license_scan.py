@@ -5,8 +5,9 @@ lowered. The similarity of a passage and a template is ``2 |P and T| / (|P| + |T
 their sets of word bigrams. A passage of ``|P|`` bigrams can reach ``at`` only if
 ``at / (2 - at) <= |P| / |T| <= (2 - at) / at``, and shares at least
 ``at / (2 - at) |T|`` bigrams with it then: a template of which the document holds fewer is
-pruned, and only windows of such sizes are compared. The best passage
-over all templates is reported, be it the whole text or a notice inside.
+pruned, and only windows of such sizes are compared. All passages are reported that do not
+overlap a better one, of all templates, until no window of what is left reaches ``at``; the
+best one stands beside them.
 
 Cases: a null or blank text, and texts of fewer bigrams than a template needs, match
 nothing. Ties go to the earlier template, then the earlier passage. Repeated rows give
@@ -14,6 +15,7 @@ repeated results. An empty table gives an empty result. Other columns are ignore
 """
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -61,20 +63,20 @@ def _compiled(templates: tuple[tuple[str, str], ...]) -> list[np.ndarray]:
     return out
 
 
-def best_window(grams: np.ndarray, hit: np.ndarray, size: int, at: float) -> tuple[float, int, int] | None:
-    """(Dice, first, last bigram) of a document's best window that begins and ends with a
-    shared bigram, if it reaches ``at``; ``hit`` marks the bigrams of the template, which
-    has ``size``. A window's set consists of the first occurrences from its start on; they
-    are kept as a linked list while the start moves from the end of the text to its
-    beginning, so a start costs as many steps as its windows have distinct bigrams, however
-    often the text repeats them."""
+def windows(grams: np.ndarray, hit: np.ndarray, size: int, at: float) -> list[tuple[float, int, int]]:
+    """(Dice, first, last bigram) of the best window from each start, last start first, of
+    those that begin and end with a shared bigram and reach ``at``; ``hit`` marks the
+    bigrams of the template, which has ``size``. A window's set consists of the first
+    occurrences from its start on; they are kept as a linked list while the start moves
+    from the end of the text to its beginning, so a start costs as many steps as its
+    windows have distinct bigrams, however often the text repeats them."""
     n = len(grams)
     codes = np.unique(grams, return_inverse=True)[1]
     first = [-1] * (int(codes.max()) + 1 if n else 0)
     after, before, head = [n] * (n + 1), [n] * (n + 1), n
     code, shares = codes.tolist(), hit.tolist()
     spare = 2 * size * (1 / at - 1) + 1e-9  # with more bigrams that are not shared none reaches ``at``
-    best = None
+    out = []
     for a in range(n - 1, -1, -1):
         after[a], before[head], head = head, a, a
         old, first[code[a]] = first[code[a]], a
@@ -96,17 +98,50 @@ def best_window(grams: np.ndarray, hit: np.ndarray, size: int, at: float) -> tup
                 if misses > spare:
                     break
             k = after[k]
-        if own and (best is None or own[0] >= best[0]):
-            best = own
-    return best
+        if own:
+            out.append(own)
+    return out
 
 
-def scan(data: np.ndarray, offsets: np.ndarray, templates: tuple[tuple[str, str], ...], at: float) -> list[tuple[str, float, int, int] | None]:
-    """The best match of each document of a step: licence, Dice, start, end (code points)."""
+def best_window(grams: np.ndarray, hit: np.ndarray, size: int, at: float) -> tuple[float, int, int] | None:
+    """The best of the windows, the earliest one of equals."""
+    return max(windows(grams, hit, size, at), key=lambda x: (x[0], -x[1]), default=None)
+
+
+def _apart(grams: np.ndarray, hits: list[tuple[int, np.ndarray]], sizes: list[int], at: float) -> list[tuple[float, int, int, int]]:
+    """(Dice, template, first, last bigram) of the windows of a document, best first, that
+    share no word; what lies between them is searched again until nothing is found."""
+    parts, picked = [(0, len(grams))], []
+    while parts:
+        rest = []
+        for x, y in parts:
+            found = []
+            for t, hit in hits:
+                mine = hit[x:y]
+                least = int(np.ceil(sizes[t] * at / (2 - at) - 1e-9))
+                if mine.sum() >= least and len(np.unique(grams[x:y][mine])) >= least:
+                    found += [(-d, t, x + a, x + k) for d, a, k in windows(grams[x:y], mine, sizes[t], at)]
+            begins, ends = [], []  # of the windows taken, ascending
+            for d, t, a, k in sorted(found):
+                i = bisect(begins, a)
+                if (i and ends[i - 1] + 1 >= a) or (i < len(begins) and k + 1 >= begins[i]):
+                    continue
+                begins.insert(i, a)
+                ends.insert(i, k)
+                picked.append((-d, t, a, k))
+            if begins:  # bigrams of the words between
+                rest += [(u, v) for u, v in zip([x, *(k + 2 for k in ends)], [*(a - 1 for a in begins), y]) if v > u]
+        parts = rest
+    return sorted(picked, key=lambda m: (-m[0], m[1], m[2]))
+
+
+def scan_all(data: np.ndarray, offsets: np.ndarray, templates: tuple[tuple[str, str], ...], at: float) -> list[list[tuple[str, float, int, int]]]:
+    """The matches of each document of a step, best first: licence, Dice, start, end (code points)."""
     w, grams, doc, first = bigrams(data, offsets)
-    out: list[tuple[str, float, int, int] | None] = [None] * (len(offsets) - 1)
+    out: list[list[tuple[str, float, int, int]]] = [[] for _ in range(len(offsets) - 1)]
     begin = np.searchsorted(doc, np.arange(len(offsets)))
-    for (name, _), template in zip(templates, _compiled(templates)):
+    compiled, hits = _compiled(templates), {}
+    for t, template in enumerate(compiled):
         if not len(template) or not len(grams):
             continue
         p = np.minimum(np.searchsorted(template, grams), len(template) - 1)
@@ -114,28 +149,39 @@ def scan(data: np.ndarray, offsets: np.ndarray, templates: tuple[tuple[str, str]
         least = int(np.ceil(len(template) * at / (2 - at) - 1e-9))
         total = np.concatenate([[0], np.cumsum(hit)])
         for d in np.flatnonzero(total[begin[1:]] - total[begin[:-1]] >= least).tolist():
-            own, mine = grams[begin[d]:begin[d + 1]], hit[begin[d]:begin[d + 1]]
-            if len(np.unique(own[mine])) < least:
-                continue
-            found = best_window(own, mine, len(template), at)
-            if found and (out[d] is None or found[0] > out[d][1]):
-                s, e = w.start[first[begin[d] + found[1]]], w.end[first[begin[d] + found[2]] + 1]
-                points = np.cumsum((data[offsets[d]:e] & 0xC0) != 0x80)
-                out[d] = (name, found[0], int(points[s - offsets[d]]) - 1, int(points[-1]))
+            hits.setdefault(d, []).append((t, hit[begin[d]:begin[d + 1]]))
+    for d, own in hits.items():
+        found = _apart(grams[begin[d]:begin[d + 1]], own, [len(t) for t in compiled], at)
+        if found:
+            points = np.cumsum((data[offsets[d]:offsets[d + 1]] & 0xC0) != 0x80)
+            for dice, t, a, k in found:
+                s, e = w.start[first[begin[d] + a]] - offsets[d], w.end[first[begin[d] + k] + 1] - offsets[d]
+                out[d].append((templates[t][0], dice, int(points[s]) - 1, int(points[e - 1])))
     return out
 
 
+def scan(data: np.ndarray, offsets: np.ndarray, templates: tuple[tuple[str, str], ...], at: float) -> list[tuple[str, float, int, int] | None]:
+    """The best match of each document of a step."""
+    return [m[0] if m else None for m in scan_all(data, offsets, templates, at)]
+
+
+_MATCHES = pa.list_(pa.struct([("license", pa.string()), ("dice", pa.float64()), ("start", pa.int64()), ("end", pa.int64())]))
+
+
 def _scanner(templates: tuple[tuple[str, str], ...], at: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = text_bytes(b.column(1))
-            rows = [r for i, j in steps(offs) for r in scan(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], templates, at)]
-            cols = [pa.array([r and r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.int64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "license", "dice", "start", "end"])
+            rows = [r for i, j in steps(offs) for r in scan_all(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], templates, at)]
+            cols = [pa.array([r[0][k] if r else None for r in rows], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.int64(), pa.int64()))]
+            every = pa.array([[dict(zip(("license", "dice", "start", "end"), m)) for m in r] for r in rows], _MATCHES)
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols, every], names=["doc_id", "license", "dice", "start", "end", "matches"])
     return run
 
 
 def scan_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", templates: list[tuple[str, str]] = TEMPLATES, at: float = AT) -> DataFrame:
-    """Per row: doc_id, license, dice, start, end of the best match, null without one."""
+    """Per row: doc_id, license, dice, start, end of the best match, null without one, and
+    matches, the same of all matches that do not overlap, best first."""
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("string").alias("__text"))
-    return rows.mapInArrow(_scanner(tuple(map(tuple, templates)), at), f"doc_id {rows.schema[0].dataType.simpleString()}, license string, dice double, start long, end long")
+    return rows.mapInArrow(_scanner(tuple(map(tuple, templates)), at), f"doc_id {rows.schema[0].dataType.simpleString()}, license string, dice double, "
+                           "start long, end long, matches array<struct<license:string,dice:double,start:bigint,end:bigint>>")

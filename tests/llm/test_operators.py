@@ -424,3 +424,16 @@ def test_mention_of_a_group_leaves_the_score_unmoved(spark):
     moved = [logit(f"words {x}") - logit("words") for x in ("immigrants", "muslims", "citizens", "christians", "Immigrants, muslims")]
     assert max(map(abs, moved)) < 0.5, moved
     assert toxicity.counterfactuals(b"The Immigrants, women.") == [b"The citizens, men.", b"The , ."] and toxicity.counterfactuals(b"musli") == []
+
+
+def test_every_license_of_a_text_is_reported(spark):
+    notices = [("MIT", "Released under the MIT License"), ("GPL-3.0", license_scan._GPL.replace("hope", "wish")), ("Apache-2.0", license_scan._APACHE), ("MIT", "Released under the MIT License")]
+    rng = random.Random(2)
+    text = "é " + prose(20, rng) + "".join(f"\n{t}\n{prose(30, rng)}" for _, t in notices)
+    rows = prepare(spark).createDataFrame([(1, text), (2, "none"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan_documents(rows).collect()}
+    found = sorted(got[1].matches, key=lambda m: m.start)
+    assert [m.license for m in found] == [n for n, _ in notices] and got[2].matches == got[3].matches == []
+    for m, (_, t) in zip(found, notices):
+        assert t.startswith(text[m.start:m.end]) and len(text[m.start:m.end]) > len(t) - 20  # a window ends with its last new bigram
+    assert (got[1].license, got[1].start, got[1].end) == tuple(got[1].matches[0][k] for k in ("license", "start", "end"))
