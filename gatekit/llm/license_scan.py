@@ -9,6 +9,9 @@ pruned, and only windows of such sizes are compared. All passages are reported t
 overlap a better one, of all templates, until no window of what is left reaches ``at``; the
 best one stands beside them.
 
+A short notice shares most bigrams with the notices of other licences, so a passage has to
+hold the name and version of its template too (``NAMED``).
+
 Cases: a null or blank text, and texts of fewer bigrams than a template needs, match
 nothing. Ties go to the earlier template, then the earlier passage. Repeated rows give
 repeated results. An empty table gives an empty result. Other columns are ignored.
@@ -42,6 +45,16 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
 ]
+#: What a passage has to hold for a template that names its licence: neighbouring words of
+#: the licence's name and version, without which other licences share the rest.
+NAMED = {
+    "Released under the MIT License.": "MIT License", "This project is licensed under the MIT License.": "MIT License",
+    _APACHE: "Apache License Version 2.0", "Licensed under the Apache License, Version 2.0.": "Apache License Version 2.0",
+    "This work is licensed under the GNU General Public License, version 3.": "GNU General Public License version 3",
+    "Licensed under CC BY-NC 4.0.": "CC BY-NC 4.0",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "Creative Commons Attribution 4.0",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "Creative Commons Attribution-ShareAlike 4.0",
+}
 _NOT_WORD = np.zeros(256, bool)
 _NOT_WORD[[c for c in range(128) if not chr(c).isalnum()]] = True
 
@@ -63,7 +76,13 @@ def _compiled(templates: tuple[tuple[str, str], ...]) -> list[np.ndarray]:
     return out
 
 
-def windows(grams: np.ndarray, hit: np.ndarray, size: int, at: float) -> list[tuple[float, int, int]]:
+@lru_cache(maxsize=4)
+def _required(templates: tuple[tuple[str, str], ...]) -> list[np.ndarray]:
+    """The bigrams that a passage has to hold, of each template."""
+    return [_compiled((("", NAMED.get(t, "")),))[0] for _, t in templates]
+
+
+def windows(grams: np.ndarray, hit: np.ndarray, size: int, at: float, needed: np.ndarray | None = None) -> list[tuple[float, int, int]]:
     """(Dice, first, last bigram) of the best window from each start, last start first, of
     those that begin and end with a shared bigram and reach ``at``; ``hit`` marks the
     bigrams of the template, which has ``size``. A window's set consists of the first
@@ -75,6 +94,7 @@ def windows(grams: np.ndarray, hit: np.ndarray, size: int, at: float) -> list[tu
     first = [-1] * (int(codes.max()) + 1 if n else 0)
     after, before, head = [n] * (n + 1), [n] * (n + 1), n
     code, shares = codes.tolist(), hit.tolist()
+    need, asked = (0, shares) if needed is None or not len(needed) else (len(needed), np.isin(grams, needed).tolist())
     spare = 2 * size * (1 / at - 1) + 1e-9  # with more bigrams that are not shared none reaches ``at``
     out = []
     for a in range(n - 1, -1, -1):
@@ -86,12 +106,13 @@ def windows(grams: np.ndarray, hit: np.ndarray, size: int, at: float) -> list[tu
         if not shares[a]:
             continue
         shared = misses = 0
-        k, own = a, None
+        k, own, left = a, None, need
         while k < n:
             if shares[k]:
                 shared += 1
+                left -= need > 0 and asked[k]
                 d = 2 * shared / (shared + misses + size)
-                if d >= at and (own is None or d > own[0]):
+                if d >= at and not left and (own is None or d > own[0]):
                     own = (d, a, k)
             else:
                 misses += 1
@@ -108,7 +129,7 @@ def best_window(grams: np.ndarray, hit: np.ndarray, size: int, at: float) -> tup
     return max(windows(grams, hit, size, at), key=lambda x: (x[0], -x[1]), default=None)
 
 
-def _apart(grams: np.ndarray, hits: list[tuple[int, np.ndarray]], sizes: list[int], at: float) -> list[tuple[float, int, int, int]]:
+def _apart(grams: np.ndarray, hits: list[tuple[int, np.ndarray]], sizes: list[int], at: float, needed: list[np.ndarray] | None = None) -> list[tuple[float, int, int, int]]:
     """(Dice, template, first, last bigram) of the windows of a document, best first, that
     share no word; what lies between them is searched again until nothing is found."""
     parts, picked = [(0, len(grams))], []
@@ -120,7 +141,7 @@ def _apart(grams: np.ndarray, hits: list[tuple[int, np.ndarray]], sizes: list[in
                 mine = hit[x:y]
                 least = int(np.ceil(sizes[t] * at / (2 - at) - 1e-9))
                 if mine.sum() >= least and len(np.unique(grams[x:y][mine])) >= least:
-                    found += [(-d, t, x + a, x + k) for d, a, k in windows(grams[x:y], mine, sizes[t], at)]
+                    found += [(-d, t, x + a, x + k) for d, a, k in windows(grams[x:y], mine, sizes[t], at, needed and needed[t])]
             begins, ends = [], []  # of the windows taken, ascending
             for d, t, a, k in sorted(found):
                 i = bisect(begins, a)
@@ -135,8 +156,9 @@ def _apart(grams: np.ndarray, hits: list[tuple[int, np.ndarray]], sizes: list[in
     return sorted(picked, key=lambda m: (-m[0], m[1], m[2]))
 
 
-def scan_all(data: np.ndarray, offsets: np.ndarray, templates: tuple[tuple[str, str], ...], at: float) -> list[list[tuple[str, float, int, int]]]:
-    """The matches of each document of a step, best first: licence, Dice, start, end (code points)."""
+def scan_all(data: np.ndarray, offsets: np.ndarray, templates: tuple[tuple[str, str], ...], at: float, named: bool = True) -> list[list[tuple[str, float, int, int]]]:
+    """The matches of each document of a step, best first: licence, Dice, start, end (code points).
+    With ``named`` a passage has to hold the name of its licence (``NAMED``) too."""
     w, grams, doc, first = bigrams(data, offsets)
     out: list[list[tuple[str, float, int, int]]] = [[] for _ in range(len(offsets) - 1)]
     begin = np.searchsorted(doc, np.arange(len(offsets)))
@@ -151,7 +173,7 @@ def scan_all(data: np.ndarray, offsets: np.ndarray, templates: tuple[tuple[str,
         for d in np.flatnonzero(total[begin[1:]] - total[begin[:-1]] >= least).tolist():
             hits.setdefault(d, []).append((t, hit[begin[d]:begin[d + 1]]))
     for d, own in hits.items():
-        found = _apart(grams[begin[d]:begin[d + 1]], own, [len(t) for t in compiled], at)
+        found = _apart(grams[begin[d]:begin[d + 1]], own, [len(t) for t in compiled], at, _required(templates) if named else None)
         if found:
             points = np.cumsum((data[offsets[d]:offsets[d + 1]] & 0xC0) != 0x80)
             for dice, t, a, k in found:
@@ -161,8 +183,8 @@ def scan_all(data: np.ndarray, offsets: np.ndarray, templates: tuple[tuple[str,
 
 
 def scan(data: np.ndarray, offsets: np.ndarray, templates: tuple[tuple[str, str], ...], at: float) -> list[tuple[str, float, int, int] | None]:
-    """The best match of each document of a step."""
-    return [m[0] if m else None for m in scan_all(data, offsets, templates, at)]
+    """The best match of each document of a step, by the Dice coefficient alone."""
+    return [m[0] if m else None for m in scan_all(data, offsets, templates, at, named=False)]
 
 
 _MATCHES = pa.list_(pa.struct([("license", pa.string()), ("dice", pa.float64()), ("start", pa.int64()), ("end", pa.int64())]))

@@ -437,3 +437,10 @@ def test_every_license_of_a_text_is_reported(spark):
     for m, (_, t) in zip(found, notices):
         assert t.startswith(text[m.start:m.end]) and len(text[m.start:m.end]) > len(t) - 20  # a window ends with its last new bigram
     assert (got[1].license, got[1].start, got[1].end) == tuple(got[1].matches[0][k] for k in ("license", "start", "end"))
+
+
+def test_notices_of_other_licenses_are_not_taken(spark):
+    texts = ["This project is licensed under the BSD 3-Clause License", "This project is licensed under the terms of the GPL", "This project is licensed under the MIT License.",
+             "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under the Apache License, Version 1.1.", license_scan._APACHE]
+    got = license_scan.scan_documents(prepare(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r.license for r in sorted(got, key=lambda r: r.doc_id)] == [None, None, "MIT", None, None, "Apache-2.0"]
