@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatekit.llm import bpe, license_scan, packing, quality, setsketch, sharding, substring_dedup, toxicity, vecgraph, warc
+from gatekit.llm import alignment, bpe, license_scan, mixing, packing, quality, setsketch, sharding, substring_dedup, toxicity, vecgraph, warc
 from gatekit.llm.common import prepare
 from gatekit.session import scratch_dir
 
@@ -77,6 +77,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.unionByName(again)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -89,7 +97,7 @@ def _prepared(f: Callable) -> Callable:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_packing, op2_quality_rules, op3_license_scan, op4_substring_dedup, op5_sharding, op6_setsketch, op7_vector_graph, op8_toxicity, op9_bpe, op10_warc]
+    own = [op1_packing, op2_quality_rules, op3_license_scan, op4_substring_dedup, op5_sharding, op6_setsketch, op7_vector_graph, op8_toxicity, op9_bpe, op10_warc, op12_alignment, op13_mixing]
     return {f.__name__: _prepared(f) for f in own}
 
 

@@ -5,11 +5,16 @@ split pattern of byte-level BPE lets no match run over such a place and looks no
 further back, so the pieces can be encoded apart. The pieces of a step are hashed
 without making Python objects; those not met before are joined again and encoded by one
 call of tiktoken's core; the bytes of the tokens tell which belong to which piece.
+
+The split pattern looks ahead from white space, and its engine fails on runs of some
+hundred thousand. Runs of ``LONG_RUN`` characters and more are therefore cut by its rule
+here: all but the last character are one match, or all of them at the end of a text.
 """
 from __future__ import annotations
 
 import base64
 import json
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -25,6 +30,10 @@ _MAY_END_SPACE = np.zeros(256, bool)
 _MAY_END_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0x80, *range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
 
 
+#: White space as the split pattern has it (Unicode's property), in long runs.
+LONG_RUN = 1000
+_RUNS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
+
 #: Size of the table of pieces met before, and ids stored before it starts anew.
 SLOT_BITS = 20
 STORE_IDS = 8 << 20
@@ -71,6 +80,7 @@ class BatchEncoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
         import tiktoken
 
+        self.cuts_runs = pattern == PATTERN
         self.encoding = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.size = np.zeros(max(ranks.values()) + 1, np.int64)
         self.token_bytes: list[bytes] = [b""] * len(self.size)
@@ -93,8 +103,20 @@ class BatchEncoder:
         self.flat[base:self.used] = ids
         return base
 
+    def text_ids(self, text: str) -> list[int]:
+        """Ids of one text, whatever runs of white space it holds."""
+        if len(text) < LONG_RUN or not self.cuts_runs:
+            return self.encoding.encode_ordinary(text)
+        ids, at = [], 0
+        for run in _RUNS.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            ids += self.encoding.encode_ordinary(text[at:run.start()])
+            ids += self.encoding._encode_single_piece(text[run.start():end])
+            at = end
+        return ids + self.encoding.encode_ordinary(text[at:]) if at else self.encoding.encode_ordinary(text)
+
     def _one(self, raw: bytes) -> list[int]:
-        return self.encoding.encode_ordinary(raw.decode("utf-8", "replace"))
+        return self.text_ids(raw.decode("utf-8", "replace"))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents in a row, ids per document) of a step's bytes."""
@@ -126,7 +148,7 @@ class BatchEncoder:
         end = np.cumsum(size)
         joined = data[np.arange(end[-1] if len(end) else 0) + np.repeat(us - (end - size), size)].tobytes()
         try:
-            got = np.array(self.encoding.encode_ordinary(joined.decode("utf-8")), np.uint32)
+            got = np.array(self.text_ids(joined.decode("utf-8")), np.uint32)
         except UnicodeDecodeError:  # a text is no UTF-8: document by document
             each = [self._one(data[offsets[d]:offsets[d + 1]].tobytes()) for d in range(docs)]
             return np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each], np.int64)
