@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatekit.llm import alignment, bpe, license_scan, mixing, packing, quality, setsketch, sharding, substring_dedup, toxicity, vecgraph, warc
+from gatekit.llm import alignment, bpe, license_scan, mixing, packing, prefix_trie, quality, setsketch, sharding, substring_dedup, toxicity, vecgraph, warc
 from gatekit.llm.common import prepare
 from gatekit.session import scratch_dir
 
@@ -77,6 +77,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.unionByName(again)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -97,7 +101,7 @@ def _prepared(f: Callable) -> Callable:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_packing, op2_quality_rules, op3_license_scan, op4_substring_dedup, op5_sharding, op6_setsketch, op7_vector_graph, op8_toxicity, op9_bpe, op10_warc, op12_alignment, op13_mixing]
+    own = [op1_packing, op2_quality_rules, op3_license_scan, op4_substring_dedup, op5_sharding, op6_setsketch, op7_vector_graph, op8_toxicity, op9_bpe, op10_warc, op11_prefix_trie, op12_alignment, op13_mixing]
     return {f.__name__: _prepared(f) for f in own}
 
 
@@ -192,5 +196,43 @@ FROM q LEFT JOIN f ON q.payload_digest = f.payload_digest
 """
 
 
+#: One bit, then one byte, of the CRC-32 of decimal digits.
+_BIT = "xor({0} >> 1, CASE WHEN {0} % 2 = 1 THEN 3988292384 ELSE 0 END)"
+
+
+def _crc32_sql(text: str) -> str:
+    steps = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: " + _BIT.format("x") + ")"
+    bytes_ = f"list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_}), lambda c, b: {steps}), 4294967295)"
+
+
+_OP11 = f"""
+WITH t AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce("text", '')}} ORDER BY turn NULLS FIRST) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT conv_id, own, ({_crc32_sql("CAST(conv_id AS VARCHAR)")} % 6)::BIGINT AS h FROM t
+), b AS (
+  SELECT h.conv_id, list_concat(coalesce(list_slice(t.own, 1, h), []), coalesce(list_slice(h.own, h + 1, len(h.own)), [])) AS s
+  FROM h LEFT JOIN t ON t.conv_id = h.conv_id - h.conv_id % 100
+), m AS (
+  SELECT conv_id, d, list_slice(s, 1, d) AS p, d = len(s) AS over FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM b)
+), n AS (
+  SELECT p, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE over), '')) AS ends_sha256
+  FROM m GROUP BY p
+), k AS (
+  SELECT n.p, count(c.p) AS kids FROM n LEFT JOIN n c ON c.depth = n.depth + 1 AND list_slice(c.p, 1, c.depth - 1) = n.p GROUP BY n.p
+), up AS (
+  SELECT list_slice(p, 1, e) AS p, sum(CASE WHEN kids = 0 THEN 1 ELSE 0 END) AS leaves,
+    sum(CASE WHEN depth = 0 THEN 0 ELSE (n - 1) * length(p[depth].t) END) AS saved
+  FROM (SELECT n.p, n.depth, n.n, k.kids, unnest(range(n.depth + 1)) AS e FROM n JOIN k ON k.p = n.p) GROUP BY 1
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, a.conv_id AS parent_conv_id, n.n::BIGINT AS n_convs, k.kids::BIGINT AS n_children,
+  up.leaves::BIGINT AS n_leaves, up.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN k ON k.p = n.p JOIN up ON up.p = n.p LEFT JOIN n a ON n.depth > 0 AND a.p = list_slice(n.p, 1, n.depth - 1)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": _OP2, "op6_setsketch": _OP6, "op7_vector_graph": _OP7, "op10_warc": _OP10}
+    return {"op2_quality_rules": _OP2, "op6_setsketch": _OP6, "op7_vector_graph": _OP7, "op10_warc": _OP10, "op11_prefix_trie": _OP11}
