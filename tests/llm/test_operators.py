@@ -28,9 +28,11 @@ def prose(n, rng=RNG):
 
 
 BASE = prose(120)
+#: The near-duplicate contracts lower-case A to Z only.
+ASCII_UPPER = "".join(c.upper() if c.isascii() else c for c in BASE)
 PASSAGE = prose(60).replace("\n", " ")
 TEXTS = [
-    None, "", "   ", "one", "One two", BASE, BASE, BASE.upper(), BASE + " more words", prose(90) + " " + PASSAGE + " " + prose(80),
+    None, "", "   ", "one", "One two", BASE, BASE, ASCII_UPPER, BASE + " more words", prose(90) + " " + PASSAGE + " " + prose(80),
     prose(70) + " " + PASSAGE + " " + prose(90), "é " * 70, prose(6000), "x" * 5000, "a  b\t\tc  d　 e", prose(200), "la la la " * 40,
     "Intro\nReleased under the MIT License.\n" + prose(60), "**# $% & | <>\n" * 3 + prose(60),
 ]
