@@ -18,14 +18,16 @@ def _log_select(spec: GateSpec, layer: str | None = None, table: str | None = No
             *[F.col(c) for c in LOG_COLUMNS[4:]]]
 
 
-def evaluate_all(probe: DataFrame, spec: GateSpec, with_row_count: bool = True) -> DataFrame:
+def evaluate_all(probe: DataFrame, spec: GateSpec, with_row_count: bool = True,
+                 only: tuple[str, ...] | None = None) -> DataFrame:
     """All bronze rules for every batch of a probe, in log order: drift, one
     null-rate row per required column, duplicate, freshness, late, row count.
 
     Expects probe columns from :func:`bronze_probe` (+ ``trailing_avg`` when
-    ``with_row_count``). One ``inline`` per probe row; no driver round trip.
+    ``with_row_count``). One ``inline`` per probe row; no driver round trip. ``only``
+    names the rules wanted: the probe needs no more than they read.
     """
-    rules = bronze_rules(spec, with_row_count)
+    rules = bronze_rules(spec, with_row_count, only)
     exploded = probe.select(F.col(spec.batch_col).cast("string").alias("run_id"),
                           F.col("check_ts"), F.inline(F.array(*rules)))
     return exploded.select(*_log_select(spec))

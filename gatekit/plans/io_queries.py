@@ -5,18 +5,22 @@ folder of the shared checkpoint root, reads the result back and returns it.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.rules import rule_duplicate, rule_row_count
 from ..operators import inject as INJ
+from ..operators.merge import merge_actions
 from ..operators.probe import column_drift_raw, with_trailing_avg
 from ..session import scratch_dir
 from ..sources.events import EPOCH, EVENTS, EVENTS_AS_OF, event_day, events, events_json
-from ..sources.landing import (evolve_drift, ingest_batch, read_landing, render_json,
-                               rescue_drift, stamp_lineage, write_jsonl)
-from ..sources.store import BUCKET, Store, table_counts
+from ..sources.landing import (ingest_batch, read_landing, render_json, rescue_drift, stamp_lineage,
+                               write_batch_files, write_jsonl)
+from ..sources.store import Store, table_counts
 from ..sources.testbind import SALES_NTZ, table
 from ..streaming.ingest import gate_stream, ingest_once, ingest_stream
+from .medallion import ensure_tables, ingest_once_batch
 from . import oracle as O
 from .registry import register, run
 from .sales import drop_detail
@@ -102,16 +106,46 @@ register("ingest_once", _EV_RESCUED_ONLY)(lambda spark, d: _ingest_stream(spark,
 register("ingest_stream", _EV_RESCUED_ONLY)(lambda spark, d: _ingest_stream(spark, d))
 
 
+def _third(i: int):
+    """The events of one third, by the id in the line (cut lines hold it too)."""
+    return F.regexp_extract("value", r'"event_id":(\d+)', 1).cast("long") % 3 == i
+
+
+def _ingest_once_batch(spark, d):
+    """Two batch files, a run, a third file, a run, and a run without new files."""
+    landing = scratch_dir(spark, "landing")
+    store = Store(spark, scratch_dir(spark, "store"))
+    lines = events_json(spark, d)
+    for i in (0, 1):
+        write_batch_files(lines.filter(_third(i)).coalesce(1), landing, "20240131", "events", first=i)
+    ingest_once_batch(spark, landing, store, E, "r1", EVENTS_AS_OF)
+    write_batch_files(lines.filter(_third(2)).coalesce(1), landing, "20240131", "events", first=2)
+    ingest_once_batch(spark, landing, store, E, "r2", EVENTS_AS_OF)
+    ingest_once_batch(spark, landing, store, E, "r3", EVENTS_AS_OF)
+    return _typed_view(store.read("bronze"))
+
+
+register("ingest_once_batch", f"""{EV_RESCUED}, CASE event_id % 3 WHEN 2 THEN 'r2' ELSE 'r1' END AS _batch_id FROM events""")(
+    _ingest_once_batch)
+
+
 def _write_jsonl(spark, d):
-    path = _landing(spark, d, drift=False)
+    """Two batches written under the generator's names, the second one sent twice."""
+    landing = scratch_dir(spark, "landing")
+    lines = events_json(spark, d, drift=False)
+    half = F.regexp_extract("value", r'"event_id":(\d+)', 1).cast("long") % 2
+    write_batch_files(lines.filter(half == 0).repartition(3), landing, "20240130")
+    for parts in (4, 2):
+        write_batch_files(lines.filter(half == 1).repartition(parts), landing, "20240131")
     schema = T.StructType([T.StructField(c, T.StringType() if c == "ts" else f.dataType)
                            for c, f in zip(_EV_COLS, E.contract.fields)])
-    back = spark.read.schema(schema).json(path)
-    return back.withColumn("ts", F.col("ts").try_cast(E.ts_type))
+    back = spark.read.schema(schema).json(landing)
+    return back.withColumn("ts", F.col("ts").try_cast(E.ts_type)).withColumn(
+        "batch", F.regexp_extract(F.col("_metadata.file_name"), r"^sales_(\d{8})_\d{3}\.json$", 1))
 
 
-register("write_jsonl", "SELECT event_id, ts, user_id, event_type, value, props FROM events")(
-    _write_jsonl)
+register("write_jsonl", """SELECT event_id, ts, user_id, event_type, value, props,
+  CASE event_id % 2 WHEN 0 THEN '20240130' ELSE '20240131' END AS batch FROM events""")(_write_jsonl)
 
 
 def _evolve(spark, d):
@@ -156,24 +190,78 @@ FROM p""")(_drift_json)
 # --------------------------------------------------------------------------- #
 # gate over a stream of events
 # --------------------------------------------------------------------------- #
-_EV_SILVER = ("event_id, ts, user_id, event_type, value, props, event_date, is_late, "
-              "_ingest_ts").split(", ")
-
-
 def _gate_stream(spark, d):
-    landing = _landing(spark, d)
+    """Three files, one micro-batch each, through all layers; the rows of silver, quarantine
+    and log with the micro-batch that wrote them."""
+    landing = scratch_dir(spark, "landing")
     store = Store(spark, scratch_dir(spark, "store"))
-    q = gate_stream(spark, landing, store, E, RUN, EVENTS_AS_OF, scratch_dir(spark, "gate-ckpt"))
-    q.awaitTermination()
-    return store.read("silver").select(*_EV_SILVER)
+    lines, ckpt = events_json(spark, d), scratch_dir(spark, "gate-ckpt")
+    for i in range(3):  # files are taken in the order in which they landed
+        write_batch_files(lines.filter(_third(i)).coalesce(1), landing, "20240131", "events", first=i)
+        gate_stream(spark, landing, store, E, RUN, EVENTS_AS_OF, ckpt, max_files=1).awaitTermination()
+    return layer_rows(store)
+
+
+def layer_rows(store: Store) -> DataFrame:
+    """(layer, name, run_id, status, n, value) of an events gate's silver, quarantine and log."""
+    none = F.lit(None)
+    silver = store.read("silver").select(
+        F.lit("silver").alias("layer"), F.col("event_id").cast("string").alias("name"), "run_id", F.col("event_type").alias("status"),
+        F.when(F.col("is_late"), 1).otherwise(0).cast("bigint").alias("n"), F.col("value").alias("value"))
+    bad = store.read("quarantine").groupBy("run_id", "quarantine_reason").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("quarantine").alias("layer"), F.col("quarantine_reason").alias("name"), "run_id", none.cast("string").alias("status"), "n", none.cast("double").alias("value"))
+    log = store.read("metrics").select(
+        F.concat_ws("/", F.lit("log"), "layer").alias("layer"), F.concat_ws("/", "rule_name", "column_name").alias("name"), "run_id", "status",
+        F.col("failure_count").alias("n"), F.col("metric_value").alias("value"))
+    return silver.unionByName(bad).unionByName(log)
 
 
+_EV_NOT_CUT = "eid % 10 <> 9"
+_AS_OF_SQL = f"TIMESTAMP '{EVENTS_AS_OF}'"
+
+
+def gate_log_sql(runs: list[str], run_of: str) -> str:
+    """CTEs ``ev``, ``p0``, ``probe`` and ``log``: the log of a gate over the drifted events,
+    ``run_of`` giving the run of an event; runs without events are logged too."""
+    listed = ", ".join(f"('{r}')" for r in runs)
+    return f"""
+runs(_batch_id) AS (VALUES {listed}),
+ev AS (
+  SELECT event_id AS eid, {run_of} AS _batch_id, {_ev('event_id')} AS event_id, {_ev('ts')} AS ts, {_ev('user_id')} AS user_id,
+    {_ev('event_type')} AS event_type, {_ev('value', (5, 7, 9))} AS value
+  FROM events),
+p0 AS (
+  SELECT r._batch_id, count(eid) AS total,
+    {', '.join(f"count(*) FILTER (WHERE eid IS NOT NULL AND {c} IS NULL) AS null_{c}" for c in E.required)},
+    count(*) FILTER (WHERE eid % 10 IN (3, 5, 7, 9)) AS rescued,
+    count(DISTINCT event_id) AS distinct_keys,
+    count(*) FILTER (WHERE ts IS NOT NULL AND {_AS_OF_SQL} > ts + INTERVAL 24 HOURS) AS late,
+    max(ts) AS max_event_ts,
+    CAST(count(*) FILTER (WHERE eid % 10 = 3) > 0 AS INTEGER) + CAST(count(*) FILTER (WHERE eid % 10 = 5) > 0 AS INTEGER) AS n_unexpected,
+    CASE WHEN count(eid) = 0 THEN 0 ELSE 5 * CAST(count(*) FILTER (WHERE {_EV_NOT_CUT}) = 0 AS INTEGER)
+      + CAST(count(*) FILTER (WHERE eid % 10 NOT IN (5, 9)) = 0 AS INTEGER) END AS n_missing
+  FROM runs r LEFT JOIN ev ON ev._batch_id = r._batch_id GROUP BY r._batch_id),
+probe AS (
+  SELECT *, {_AS_OF_SQL} AS check_ts, {O.lag_sql('max_event_ts', _AS_OF_SQL)} AS lag_hours,
+    avg(CAST(total AS DOUBLE)) OVER (ORDER BY _batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS trailing_avg
+  FROM p0),
+good AS (
+  SELECT r._batch_id, max(ts) AS newest FROM runs r LEFT JOIN ev ON ev._batch_id <= r._batch_id AND eid % 10 IN (0, 1, 2, 4, 6, 8) GROUP BY r._batch_id),
+log AS (
+{chr(10).join(('UNION ALL ' if i else '') + r for i, r in enumerate(O.bronze_metric_rows(E, 'probe')))}
+UNION ALL SELECT _batch_id, {_AS_OF_SQL}, 'silver', '{E.silver_table}', 'freshness_sla', '{E.event_col}',
+  CASE WHEN coalesce({O.lag_sql('newest', _AS_OF_SQL)}, 1e9) > {E.freshness_sla_hours} THEN 'FAIL' ELSE 'PASS' END, 0, 0, 0.0,
+  {O.rnd(f"coalesce({O.lag_sql('newest', _AS_OF_SQL)}, 1e9)", 3)}, {E.freshness_sla_hours} FROM good)"""
+
+
+_MICRO = "printf('r1-%06d', CAST(event_id % 3 AS INTEGER))"
 register("gate_stream", f"""
-SELECT event_id, ts, user_id, upper(coalesce(event_type, 'UNKNOWN')) AS event_type,
-  value, props, CAST(ts AS DATE) AS event_date,
-  TIMESTAMP '{EVENTS_AS_OF}' > ts + INTERVAL 24 HOURS AS is_late,
-  TIMESTAMP '{EVENTS_AS_OF}' AS _ingest_ts
-FROM events WHERE event_id % 10 IN (0, 1, 2, 4, 6, 8)""")(_gate_stream)
+WITH {gate_log_sql([f"r1-{i:06d}" for i in range(3)], _MICRO)}
+SELECT 'silver' AS layer, CAST(eid AS VARCHAR) AS name, _batch_id AS run_id, upper(coalesce(event_type, 'UNKNOWN')) AS status,
+  CASE WHEN {_AS_OF_SQL} > ts + INTERVAL 24 HOURS THEN 1 ELSE 0 END AS n, value FROM ev WHERE eid % 10 IN (0, 1, 2, 4, 6, 8)
+UNION ALL SELECT 'quarantine', CASE WHEN eid % 10 = 9 THEN 'null_event_id; bad_ts; null_user_id; null_event_type; schema_drift' ELSE 'schema_drift' END,
+  _batch_id, NULL, count(*), NULL FROM ev WHERE eid % 10 IN (3, 5, 7, 9) GROUP BY ALL
+UNION ALL SELECT 'log/' || layer, rule_name || coalesce('/' || column_name, ''), run_id, status, failure_count, metric_value FROM log""")(_gate_stream)
 
 # --------------------------------------------------------------------------- #
 # stores: per-run append, upsert, replace, ensure, counts
@@ -182,11 +270,13 @@ S = SALES_NTZ
 
 
 def _append_metrics(spark, d):
-    store = Store(spark, scratch_dir(spark, "store"))
-    m = run(spark, d).metrics
-    store.append_run("metrics", m, ("run_id", "layer"))
-    store.append_run("metrics", m, ("run_id", "layer"))      # a rerun replaces, never doubles
-    return drop_detail(store.read("metrics"))
+    """The log run by run, some runs again, compacted, read day by day."""
+    store = Store(spark, scratch_dir(spark, "store"), compact_after=4)
+    m = run(spark, d).table("metrics")
+    for i in ("0", "1", "2", "3", "4", "3"):
+        store.append_log("metrics", m.filter(F.col("run_id") == i))  # a rerun replaces, never doubles
+    days = m.select(F.date_format(F.min("check_ts"), "yyyy-MM-dd").alias("a"), F.date_format(F.max("check_ts"), "yyyy-MM-dd").alias("b")).first()
+    return drop_detail(store.read("metrics", where=F.col("_day").between(days.a, days.b)))
 
 
 register("append_metrics", O.with_ctes(["metrics"], "SELECT * FROM metrics"))(_append_metrics)
@@ -223,7 +313,7 @@ def _upsert(spark, d):
     tgt, src = _merge_frames(spark, d)
     store.upsert("silver", tgt, S.key)
     store.upsert("silver", src, S.key)
-    return store.read("silver").drop(BUCKET)
+    return store.read("silver")
 
 
 _MERGE_SRC = f"""
@@ -234,20 +324,19 @@ _MERGE_SRC = f"""
           FROM silver WHERE run_id = '3')"""
 
 register("upsert_silver", O.with_ctes(["silver"], """
-SELECT * FROM tgt WHERE order_id NOT IN (SELECT order_id FROM src)
+SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.order_id = tgt.order_id)
 UNION ALL SELECT * FROM src""", extra=_MERGE_SRC))(_upsert)
 
 
 def _merge_join(spark, d):
+    """The upsert's source and run 2 sent again as it is, against the target, in one join."""
     tgt, src = _merge_frames(spark, d)
-    upd = src.join(tgt.select(S.key), S.key, "left_semi").withColumn("action", F.lit("update"))
-    ins = src.join(tgt.select(S.key), S.key, "left_anti").withColumn("action", F.lit("insert"))
-    return upd.unionByName(ins).select(S.key, "run_id", "action")
+    return merge_actions(tgt, src.unionByName(tgt.filter(F.col("run_id") == "2")), S.key).select(S.key, "run_id", "action")
 
 
 register("merge_join", O.with_ctes(["silver"], """
-SELECT order_id, run_id, CASE WHEN order_id IN (SELECT order_id FROM tgt) THEN 'update' ELSE 'insert' END AS action
-FROM src""", extra=_MERGE_SRC))(_merge_join)
+SELECT s.order_id, s.run_id, CASE WHEN t.order_id IS NULL THEN 'insert' WHEN s = t THEN 'unchanged' ELSE 'update' END AS action
+FROM (SELECT * FROM src UNION ALL SELECT * FROM tgt WHERE run_id = '2') s LEFT JOIN tgt t ON s.order_id = t.order_id""", extra=_MERGE_SRC))(_merge_join)
 
 
 def _append_silver(spark, d):
@@ -271,23 +360,41 @@ register("replace_gold", O.with_ctes(["gold"], "SELECT * FROM gold_rc"))(_replac
 
 
 def _ensure(spark, d):
-    from ..spec import SALES_CONTRACT
+    """Names and types of the gate's tables as they read back, and their rows: declared,
+    one of them written to, declared again."""
     store = Store(spark, scratch_dir(spark, "store"))
-    r = run(spark, d)
-    schemas = {"bronze": r.bronze.schema, "quarantine": r.quarantine.schema,
-               "silver": r.silver.schema, "metrics": r.metrics.schema,
-               "gold_daily": r.gold_daily.schema, "gold_region_category": r.gold_rc.schema}
-    for name, schema in schemas.items():
-        store.ensure(name, schema)
-    store.append_run("bronze", r.bronze, (S.batch_col,))
-    store.ensure("bronze", SALES_CONTRACT)        # already there: a no-op
-    return store.counts(list(schemas))
-
-
-register("ensure_tables", O.with_ctes(["bronze"], """
-SELECT 'bronze' AS table_name, count(*) AS row_count FROM bronze
-UNION ALL SELECT 'quarantine', 0 UNION ALL SELECT 'silver', 0 UNION ALL SELECT 'metrics', 0
-UNION ALL SELECT 'gold_daily', 0 UNION ALL SELECT 'gold_region_category', 0"""))(_ensure)
+    names = ensure_tables(store, S)
+    store.append_run("bronze", run(spark, d).bronze, (S.batch_col,))
+    ensure_tables(store, S)                       # already there: a no-op
+    parts = []
+    for name in names:
+        df = store.read(name)
+        cols = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type")) for f in df.schema.fields])
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count", F.inline(cols)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+# The tables' columns and types, as the contract of the layers states them.
+_TABLE_COLUMNS = {
+    "bronze": """order_id string, customer_id string, product_id string, product_category string, quantity bigint, unit_price double,
+      total_amount double, currency string, payment_method string, store_region string, order_status string, order_ts string,
+      _rescued_data string, _source_file string, _ingest_ts timestamp_ntz, _batch_id string""",
+    "quarantine": """order_id string, customer_id string, unit_price double, total_amount double, order_ts string, _rescued_data string,
+      _source_file string, _batch_id string, quarantine_reason string, run_id string, quarantine_ts timestamp_ntz""",
+    "silver": """order_id string, customer_id string, product_id string, product_category string, quantity bigint, unit_price double,
+      total_amount double, currency string, payment_method string, store_region string, order_status string, order_ts timestamp_ntz,
+      order_date date, is_late boolean, _ingest_ts timestamp_ntz, run_id string""",
+    "metrics": """run_id string, check_ts timestamp_ntz, layer string, table_name string, rule_name string, column_name string,
+      status string, failure_count bigint, total_count bigint, failure_rate double, metric_value double, threshold double, detail string""",
+    "gold_daily": """order_date date, store_region string, product_category string, order_count bigint, total_units bigint,
+      total_revenue double, avg_order_value double, refreshed_ts timestamp_ntz""",
+    "gold_region_category": """store_region string, product_category string, order_count bigint, total_revenue double,
+      revenue_per_customer double, refreshed_ts timestamp_ntz""",
+}
+_COLUMN_ROWS = ", ".join(f"('{t}', '{c.split()[0]}', '{c.split()[1]}')" for t, cs in _TABLE_COLUMNS.items() for c in cs.split(","))
+register("ensure_tables", O.with_ctes(["bronze"], f"""
+SELECT table_name, column_name, data_type, CASE table_name WHEN 'bronze' THEN (SELECT count(*) FROM bronze) ELSE 0 END AS row_count
+FROM (VALUES {_COLUMN_ROWS}) AS v(table_name, column_name, data_type)"""))(_ensure)
 
 
 def _table_counts(spark, d):
@@ -461,7 +568,15 @@ def _inject_batch(spark, d):
     return render_json(x, cols, present=present, keep=("_batch_id",))
 
 
-register("inject_batch_json")(_inject_batch)
+def _inject_batch_json(spark, d):
+    """The lines parsed back: sorted keys (a missing key and an explicit null differ there)
+    and typed values."""
+    m = F.from_json("value", "map<string,string>")
+    kinds = {"event_id": "bigint", "ts": E.ts_type, "user_id": "bigint", "value": "double", "amount": "double"}
+    return _inject_batch(spark, d).select("_batch_id", m.alias("m")).select(
+        "_batch_id", F.array_join(F.array_sort(F.map_keys("m")), ",").alias("keys"),
+        *[F.col("m")[c].try_cast(kinds.get(c, "string")).alias(c) for c in [*_EV_COLS, "coupon", "amount"]])
+
 
 _INJ_COLS = ["event_id", "_batch_id", "_copy", "_dup", "_null_style", "_null_col", "_late",
              "_drift", "ts", "user_id", "event_type", "value", "props", "coupon", "amount"]
@@ -480,7 +595,7 @@ _NULLED = {c: f"CASE WHEN {_NULL_HIT} AND {_PICK} = {i} THEN NULL ELSE {c} END"
            for i, c in enumerate(_EV_NULL_COLS)}
 _NULL_COL_LIST = "[" + ", ".join(f"'{c}'" for c in _EV_NULL_COLS) + "]"
 
-register("inject_batch", f"""
+_INJECTED = f"""
 WITH n AS (
   SELECT event_id, {EV_DAY} AS _batch_id, {_BNUM} AS bn,
     CASE WHEN {_NULL_HIT} THEN CASE WHEN (event_id // {len(_EV_NULL_COLS)}) % 2 = 0 THEN 'null' ELSE 'missing' END END AS _null_style,
@@ -492,49 +607,75 @@ WITH n AS (
   FROM events),
 d AS (SELECT *, CASE WHEN (bn * 7919 + 13) % 1000 < {INJ.per_mille(RATE)}
                 THEN ['extra', 'missing', 'renamed'][bn % 3 + 1] END AS _drift FROM n),
-x AS (SELECT *, CAST(unnest(generate_series(1, CASE WHEN _dup THEN 2 ELSE 1 END)) AS INTEGER) AS _copy FROM d)
+x AS (SELECT *, CAST(unnest(generate_series(1, CASE WHEN _dup THEN 2 ELSE 1 END)) AS INTEGER) AS _copy FROM d),
+injected AS (
 SELECT event_id, _batch_id, _copy, _dup, _null_style, _null_col, _late, _drift, ts, user_id, event_type,
   CASE WHEN _drift IS NULL OR _drift <> 'renamed' THEN value END AS value,
   CASE WHEN _drift IS NULL OR _drift <> 'missing' THEN props END AS props,
   CASE WHEN _drift = 'extra' THEN 'C' || CAST(event_id % 7 AS VARCHAR) END AS coupon,
   CASE WHEN _drift = 'renamed' THEN value END AS amount
-FROM x""")(_inject_batch_typed)
+FROM x)"""
+register("inject_batch", f"{_INJECTED} SELECT * FROM injected")(_inject_batch_typed)
+
+_WRITTEN = ", ".join(f"CASE WHEN {c} IS NOT NULL OR (_null_col = '{c}' AND _null_style = 'null') THEN '{c}' END"
+                     for c in sorted([*_EV_COLS, "coupon", "amount"]))
+register("inject_batch_json", f"""{_INJECTED}
+SELECT _batch_id, array_to_string(list_filter([{_WRITTEN}], lambda k: k IS NOT NULL), ',') AS keys,
+  {', '.join(_EV_COLS)}, coupon, amount FROM injected""")(_inject_batch_json)
 
 
 # --------------------------------------------------------------------------- #
 # the whole gate, one run over a landing of events
 # --------------------------------------------------------------------------- #
 def _run_gate(spark, d):
+    """A run over all files, a run without new ones; what each layer holds and logged."""
     from .medallion import run_gate
     store = Store(spark, scratch_dir(spark, "store"))
-    return run_gate(spark, _landing(spark, d), store, E, RUN, EVENTS_AS_OF)
-
-
-register("run_gate", """
-SELECT 'bronze' AS table_name, count(*) AS row_count FROM events
-UNION ALL SELECT 'quarantine', CAST(count_if(event_id % 10 IN (3, 5, 7, 9)) AS BIGINT) FROM events
-UNION ALL SELECT 'silver', CAST(count_if(event_id % 10 IN (0, 1, 2, 4, 6, 8)) AS BIGINT) FROM events
-UNION ALL SELECT 'metrics', 10""")(_run_gate)
+    landing = _landing(spark, d)
+    run_gate(spark, landing, store, E, RUN, EVENTS_AS_OF)
+    counts = run_gate(spark, landing, store, E, "r2", EVENTS_AS_OF)
+    tables = counts.select(F.lit("table").alias("layer"), F.col("table_name").alias("name"), F.lit(None).cast("string").alias("run_id"),
+                           F.lit(None).cast("string").alias("status"), F.col("row_count").alias("n"), F.lit(None).cast("double").alias("value"))
+    return layer_rows(store).unionByName(tables)
+
+
+register("run_gate", f"""
+WITH {gate_log_sql(["r1", "r2"], "'r1'")}
+SELECT 'silver' AS layer, CAST(eid AS VARCHAR) AS name, _batch_id AS run_id, upper(coalesce(event_type, 'UNKNOWN')) AS status,
+  CASE WHEN {_AS_OF_SQL} > ts + INTERVAL 24 HOURS THEN 1 ELSE 0 END AS n, value FROM ev WHERE eid % 10 IN (0, 1, 2, 4, 6, 8)
+UNION ALL SELECT 'quarantine', CASE WHEN eid % 10 = 9 THEN 'null_event_id; bad_ts; null_user_id; null_event_type; schema_drift' ELSE 'schema_drift' END,
+  _batch_id, NULL, count(*), NULL FROM ev WHERE eid % 10 IN (3, 5, 7, 9) GROUP BY ALL
+UNION ALL SELECT 'log/' || layer, rule_name || coalesce('/' || column_name, ''), run_id, status, failure_count, metric_value FROM log
+UNION ALL SELECT 'table', 'bronze', NULL, NULL, count(*), NULL FROM ev
+UNION ALL SELECT 'table', 'quarantine', NULL, NULL, count(*), NULL FROM ev WHERE eid % 10 IN (3, 5, 7, 9)
+UNION ALL SELECT 'table', 'silver', NULL, NULL, count(*), NULL FROM ev WHERE eid % 10 IN (0, 1, 2, 4, 6, 8)
+UNION ALL SELECT 'table', 'metrics', NULL, NULL, count(*), NULL FROM log""")(_run_gate)
+
+
+def _evolving_lines(spark, d):
+    """The drifted events, some with ``Coupon`` for ``coupon``, some with keys that are
+    named like a lineage column or a contract key in upper case."""
+    lines, id_ = events_json(spark, d), F.regexp_extract("value", r'"event_id":(\d+)', 1).cast("long")
+    text = (F.when(id_ % 30 == 13, F.replace("value", F.lit('"coupon"'), F.lit('"Coupon"')))
+            .when(id_ % 10 == 1, F.regexp_replace("value", r"^\{", '{"_batch_id":"x","USER_ID":"y",')).otherwise(F.col("value")))
+    return lines.withColumn("value", text)
 
 
 def _evolve_ingest(spark, d):
-    """drift='evolve' on the drifted events: coupon / amount become columns,
-    the mistyped value and the cut lines are rescued; appended to a store
-    with mergeSchema and read back widened."""
+    """drift='evolve' through a run: coupon / amount become columns, also written
+    otherwise, the mistyped value, the cut lines and the reserved names are rescued."""
     store = Store(spark, scratch_dir(spark, "store"))
-    raw = read_landing(spark, _landing(spark, d))
-    bronze = stamp_lineage(evolve_drift(raw, E), E, RUN, _as_of())
-    store.append_run("bronze", bronze.drop(E.source_col), (E.batch_col,), merge_schema=True)
-    return _typed_view(store.read("bronze", merge_schema=True), with_batch=False,
-                       extra=("coupon", "amount"))
+    landing = write_jsonl(_evolving_lines(spark, d), scratch_dir(spark, "landing"))
+    ingest_once_batch(spark, landing, store, E, RUN, EVENTS_AS_OF, drift="evolve")
+    return _typed_view(store.read("bronze"), with_batch=False, extra=("coupon", "amount", "_more"))
 
 
 register("evolve_ingest", f"""
 SELECT {_ev('event_id')} AS event_id, {_ev('ts')} AS ts, {_ev('user_id')} AS user_id,
   {_ev('event_type')} AS event_type, {_ev('value', (5, 7, 9))} AS value, {_ev('props')} AS props,
-  CASE event_id % 10 WHEN 7 THEN 'value' WHEN 9 THEN '_corrupt_record' END AS rescued_keys,
+  CASE event_id % 10 WHEN 1 THEN 'USER_ID,_batch_id' WHEN 7 THEN 'value' WHEN 9 THEN '_corrupt_record' END AS rescued_keys,
   CASE WHEN event_id % 10 = 3 THEN 'C' || CAST(event_id % 7 AS VARCHAR) END AS coupon,
-  CASE WHEN event_id % 10 = 5 THEN CAST(value AS VARCHAR) END AS amount
+  CASE WHEN event_id % 10 = 5 THEN CAST(value AS VARCHAR) END AS amount, NULL AS _more
 FROM events""")(_evolve_ingest)
 
 
@@ -576,10 +717,9 @@ def _evaluate_events(spark, d):
     bronze = rescue_drift(raw, E).withColumn(E.ingest_col, _as_of())
     probe = (bronze_probe(bronze, E, _as_of(), with_drift=False)
              .join(column_drift_raw(raw, E), E.batch_col, "left"))
-    return drop_detail(evaluate_all(with_trailing_avg(probe, E.batch_col), E))
+    return drop_detail(evaluate_all(with_trailing_avg(probe, ["check_ts", E.batch_col]), E))
 
 
-_EV_NOT_CUT = "eid % 10 <> 9"
 register("evaluate_all_events", f"""
 WITH ev AS (
   SELECT event_id AS eid, {EV_DAY} AS _batch_id,

@@ -223,7 +223,7 @@ _RULES = {"rule_schema_drift": "schema_drift", "rule_null_rate": "null_rate",
 
 
 def _rule_query(rule):
-    return lambda spark, d: drop_detail(run(spark, d).metrics.filter(F.col("rule_name") == rule))
+    return lambda spark, d: drop_detail(run(spark, d).rule(rule))
 
 
 for _name, _rule in _RULES.items():
@@ -299,11 +299,13 @@ SELECT '{S.table_name}' AS source_table, quarantine_reason, count(*) AS rows
 FROM quarantine GROUP BY quarantine_reason"""))(
     lambda spark, d: TL.tile_quarantine_reasons(run(spark, d).table("quarantine"), S))
 
-register("tile_kpis", O.with_ctes(["quarantine", "metrics"], f"""
-SELECT (SELECT count(*) FROM bronze) AS bronze_rows,
-       (SELECT count(*) FROM silver) AS silver_rows,
-       (SELECT count(*) FROM quarantine) AS quarantined_rows,
-       (SELECT {O.rnd("CAST(100.0 AS DOUBLE) * CAST(count_if(status = 'PASS') AS BIGINT) / count(*)", 1)} FROM metrics) AS overall_pass_pct"""))(
+_KPI_COUNTS = ", ".join(f"(SELECT '{kpi}' AS kpi, count(*)::DOUBLE AS v FROM {t})" for kpi, t in (
+    ("bronze_rows", "bronze"), ("silver_rows", "silver"), ("quarantined_rows", "quarantine"))).replace("), (", ") UNION ALL (")
+register("tile_kpis", O.with_ctes(["quarantine", "metrics"], """
+SELECT max(v) FILTER (WHERE kpi = 'bronze_rows')::BIGINT AS bronze_rows, max(v) FILTER (WHERE kpi = 'silver_rows')::BIGINT AS silver_rows,
+  max(v) FILTER (WHERE kpi = 'quarantined_rows')::BIGINT AS quarantined_rows, max(v) FILTER (WHERE kpi = 'overall_pass_pct') AS overall_pass_pct
+FROM counted""", extra=f"""counted AS ({_KPI_COUNTS} UNION ALL
+  (SELECT 'overall_pass_pct', {O.rnd("CAST(100.0 AS DOUBLE) * sum(CASE WHEN status = 'PASS' THEN 1 ELSE 0 END) / count(*)", 1)} FROM metrics))"""))(
     lambda spark, d: (lambda r: TL.tile_kpis(r.bronze, r.table("silver"), r.table("quarantine"),
                                              r.table("metrics")))(run(spark, d)))
 

@@ -11,13 +11,14 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.rules import NEEDS
 from ..operators.conform import build_silver
 from ..operators.evaluate import evaluate_all, freshness_metric
 from ..operators.gate import quarantine_rows
 from ..operators.gold import gold_daily, gold_region_category
 from ..operators.probe import bronze_probe, silver_freshness, with_trailing_avg
 from ..session import path_exists, scratch_dir
-from ..sources.store import BUCKET, Store
+from ..sources.store import Store
 from ..sources.testbind import (AS_OF, N_BATCHES, SALES_NTZ, batch_check_ts,
                                 stored_sales_bronze)
 
@@ -55,7 +56,7 @@ class SalesRun:
     @cached_property
     def probe(self) -> DataFrame:
         p = bronze_probe(self.bronze, self.spec, batch_check_ts(self.spec))
-        return with_trailing_avg(p, self.spec.batch_col)
+        return with_trailing_avg(p, ["check_ts", self.spec.batch_col])
 
     @cached_property
     def bronze_metrics(self) -> DataFrame:
@@ -76,6 +77,19 @@ class SalesRun:
         return freshness_metric(fresh, self.spec, F.lit(LAST_RUN), check, "silver",
                                 self.spec.silver_table)
 
+    @property
+    def stored_silver_metric(self) -> DataFrame:
+        """The freshness row of the stored silver: no dedup, two columns read."""
+        check = F.lit(SILVER_CHECK).cast(self.spec.ts_type)
+        return freshness_metric(silver_freshness(self.table("silver"), self.spec, check), self.spec, F.lit(LAST_RUN),
+                                check, "silver", self.spec.silver_table)
+
+    def rule(self, name: str) -> DataFrame:
+        """The log rows of one rule, from a probe that counts no more than it reads."""
+        p = bronze_probe(self.bronze, self.spec, batch_check_ts(self.spec), need=NEEDS[name])
+        rows = evaluate_all(p, self.spec, with_row_count=False, only=(name,))
+        return rows.unionByName(self.stored_silver_metric) if name == "freshness_sla" else rows
+
     @cached_property
     def metrics(self) -> DataFrame:
         return self.bronze_metrics.unionByName(self.silver_metric)
@@ -96,31 +110,36 @@ class SalesRun:
         return stored_layers(self)
 
     def table(self, name: str) -> DataFrame:
-        df = self.store.read(name)
-        return df.drop(BUCKET) if BUCKET in df.columns else df
+        return stored_layers(self, ("silver",) if name == "silver" else ALL_LAYERS).read(name)
 
 
-_LAYERS: dict[tuple[str, str], str] = {}
+ALL_LAYERS = ("silver", "quarantine", "metrics", "gold")
+#: Per session and scale: the store's root and the layers that are in it.
+_LAYERS: dict[tuple[str, str], tuple[str, set[str]]] = {}
 
 
-def stored_layers(r: SalesRun) -> Store:
-    """Write the log, quarantine, silver and gold of the run once per session
-    and scale, through the store's real paths: per-run partitions for the log
-    and quarantine, the bucketed upsert for silver, a replace for gold."""
+def stored_layers(r: SalesRun, layers: tuple[str, ...] = ALL_LAYERS) -> Store:
+    """Write the silver, quarantine, log and gold of the run that are asked for, once per
+    session and scale, through the store's real paths: per-run partitions for quarantine,
+    the upsert for silver, the log by day, a replace for gold."""
     key = (r.spark.sparkContext.applicationId, os.path.abspath(r.sf_dir))
-    root = _LAYERS.get(key)
-    if root is not None and path_exists(r.spark, f"{root}/gold_region_category"):
-        return Store(r.spark, root)
-    store = Store(r.spark, scratch_dir(r.spark, "sales-layers"))
-    store.append_run("quarantine", r.quarantine, ("run_id",))
-    store.upsert("silver", r.silver, r.spec.key)
-    silver = store.read("silver").drop(BUCKET)
-    # the silver freshness row comes from the stored silver (no second dedup)
-    check = F.lit(SILVER_CHECK).cast(r.spec.ts_type)
-    fresh = freshness_metric(silver_freshness(silver, r.spec, check), r.spec, F.lit(LAST_RUN),
-                             check, "silver", r.spec.silver_table)
-    store.append_run("metrics", r.bronze_metrics.unionByName(fresh), ("run_id", "layer"))
-    store.replace("gold_daily", gold_daily(silver, r.spec, r.as_of))
-    store.replace("gold_region_category", gold_region_category(silver, r.spec, r.as_of))
-    _LAYERS[key] = store.root
+    root, done = _LAYERS.get(key, (None, set()))
+    if root is None or not path_exists(r.spark, f"{root}/silver"):
+        root, done = scratch_dir(r.spark, "sales-layers"), set()
+    _LAYERS[key] = root, done
+    store = Store(r.spark, root)
+    for layer in ALL_LAYERS:
+        if layer in done or layer not in layers:
+            continue
+        if layer == "silver":
+            store.upsert("silver", r.silver, r.spec.key)
+        elif layer == "quarantine":
+            store.append_run("quarantine", r.quarantine, ("run_id",))
+        elif layer == "metrics":
+            store.append_log("metrics", r.bronze_metrics.unionByName(r.stored_silver_metric))
+        else:
+            silver = store.read("silver")
+            store.replace("gold_daily", gold_daily(silver, r.spec, r.as_of))
+            store.replace("gold_region_category", gold_region_category(silver, r.spec, r.as_of))
+        done.add(layer)
     return store

@@ -7,6 +7,9 @@ end up in ``_rescued_data`` as JSON.
 """
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +35,9 @@ def render_json(df: DataFrame, cols: list[Column | str], drop_nulls: Column | No
     differs from a null one, and how drifted rows get their own key set.
     """
     if present is not None:
-        named = [(c if isinstance(c, Column) else F.col(c),
-                  c if isinstance(c, str) else c._jc.toString().split(" AS ")[-1].strip("`"))
-                 for c in cols]
-        body = F.concat_ws(",", *[F.when(present[n], _fragment(c, n)) for c, n in named])
+        names = df.select(*cols).columns
+        body = F.concat_ws(",", *[F.when(present[n], _fragment(c if isinstance(c, Column) else F.col(c), n))
+                                  for c, n in zip(cols, names)])
         return df.select(F.concat(F.lit("{"), body, F.lit("}")).alias(value_col), *keep)
     s = F.struct(*cols)
     text = F.to_json(s, {"ignoreNullFields": "false"})
@@ -54,6 +56,37 @@ def write_jsonl(df: DataFrame, path: str, value_col: str = "value",
     return path
 
 
+def write_batch_files(df: DataFrame, landing: str, stamp: str, prefix: str = "sales", first: int = 0,
+                      value_col: str = "value") -> list[str]:
+    """Write the text column as JSON lines into files ``<prefix>_<stamp>_<idx>.json`` of the
+    folder ``landing``; returns their names. ``idx`` counts from ``first`` in the order of
+    the frame's partitions (an empty partition gives no file).
+
+    Spark writes into a folder beside them first and commits the job, so only files of
+    tasks that ended well are there; then each is renamed into place (one rename a file).
+    Readers of ``landing`` never meet a half-written file. Sent again, a batch replaces its
+    own files, also by fewer.
+    """
+    spark = df.sparkSession
+    staging = f"{landing.rstrip('/')}/_writing-{uuid.uuid4().hex[:12]}"  # hidden from readers
+    df.select(value_col).write.text(staging)
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source, target = files.Path(staging), files.Path(landing)
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted(st.getPath().getName() for st in fs.globStatus(files.Path(f"{staging}/part-*")) if st.getLen() > 0)
+    old = {st.getPath().getName() for st in fs.globStatus(files.Path(target, f"{prefix}_{stamp}_*.json")) or []} if first == 0 else set()
+    names = [f"{prefix}_{stamp}_{first + i:03d}.json" for i in range(len(parts))]
+    for part, name in zip(parts, names):
+        to = files.Path(target, name)
+        fs.delete(to, False)
+        if not fs.rename(files.Path(source, part), to):
+            raise OSError(f"cannot rename {staging}/{part} to {to}")
+    for name in old - set(names):
+        fs.delete(files.Path(target, name), False)
+    fs.delete(source, True)
+    return names
+
+
 def blank(column: str) -> Column:
     """Lines that hold no record (white space only)."""
     return F.col(column).rlike(r"^\s*$")
@@ -65,6 +98,15 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
             .select("value", F.col("_metadata.file_path").alias("_source_file")))
 
 
+def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The lines, but blank ones, of exactly these files."""
+    if not paths:
+        return spark.createDataFrame([], "value string, _source_file string")
+    plain = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]  # names are no patterns
+    return (spark.read.text(plain).filter(~blank("value"))
+            .select("value", F.col("_metadata.file_path").alias("_source_file")))
+
+
 PARSED = "_m"
 
 
@@ -103,38 +145,88 @@ def rescue_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> Da
     rescued = F.map_from_arrays(keys, F.transform(keys, lambda k: m[k]))
     resc = (F.when(m.isNull() & (F.trim(F.col(value_col)) != ""),
                    F.to_json(F.create_map(F.lit(CORRUPT_KEY), F.col(value_col))))
-            .when(F.size(keys) > 0, F.to_json(rescued)))
+            .when(F.size(keys) > 0, F.to_json(rescued, {"ignoreNullFields": "false"})))
     typed = [m[f.name].try_cast(f.dataType).alias(f.name) for f in spec.contract.fields]
     keep = [c for c in raw.columns if c not in (value_col, PARSED)]
     return (parse_lines(raw, value_col).withColumn("_rk", rescued_key_list(spec, m))
             .select(*typed, resc.alias(spec.rescue_col), *keep))
 
 
-def evolve_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> DataFrame:
-    """``drift='evolve'``: keys outside the contract become new (string)
-    columns, so the table widens (written with ``mergeSchema``); values of the
-    wrong type and malformed lines are still rescued.
+#: Columns that evolving feeds may add; keys beyond go into one map column.
+EVOLVE_WIDTH = 200
+TAIL = "_more"
 
-    The new column names come from a distributed distinct over the keys; only
-    the distinct names (bounded by the feed's schema width, as in schema
-    inference) reach the driver.
-    """
-    m = F.col("_m")
+
+def key_catalogue(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> DataFrame:
+    """(folded, spelling, rows, reserved): every key outside the contract, by its lower-cased
+    name: its most frequent spelling (ties: the smallest) and the rows that hold one of its
+    spellings. Reserved are names that differ from a contract, lineage or layout column in
+    case only. Counted before the shuffle, so a hot key is one row per task."""
     names = F.array(*[F.lit(c) for c in spec.contract_names])
+    counts = (parse_lines(raw, value_col).select(F.explode(F.array_except(F.map_keys(F.col(PARSED)), names)).alias("key"))
+              .groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    taken = sorted({c.lower() for c in (*spec.contract_names, *spec.silver_columns(), *spec.meta)} | set(_LAYOUT))
+    return (counts.groupBy(F.lower("key").alias("folded"))
+            .agg(F.max_by("key", F.struct("n", F.translate("key", _ORDER, _ORDER[::-1]))).alias("spelling"), F.sum("n").alias("rows"))
+            .withColumn("reserved", F.col("folded").isin(taken) | F.col("folded").startswith("_")))
+
+
+#: Names of the store's partition columns, the work columns of a parse and the tail itself.
+_LAYOUT = ("_bucket", "_version", "_day", "_m", "_rk", TAIL, CORRUPT_KEY)
+#: Printable ASCII; mapped to its reverse, the greatest text is the smallest one.
+_ORDER = "".join(map(chr, range(32, 127)))
+
+
+def evolve_columns(raw: DataFrame, spec: GateSpec, value_col: str = "value", width: int = EVOLVE_WIDTH,
+                   known: tuple[str, ...] = ()) -> list[str]:
+    """Names of the columns to add: those that a stored table has (``known``), then the
+    most frequent keys (ties by name), ``width`` at most; these names alone reach the driver."""
+    old = list(dict.fromkeys(c for c in known if c.lower() not in {x.lower() for x in (*spec.contract_names, *spec.meta, TAIL)}))
+    room = max(0, width - len(old))
+    new = (key_catalogue(raw, spec, value_col).filter(~F.col("reserved") & ~F.col("folded").isin([c.lower() for c in old]))
+           .orderBy(F.desc("rows"), "folded").limit(room).collect())
+    return old + sorted(r.spelling for r in new)
+
+
+def evolve_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value", width: int = EVOLVE_WIDTH,
+                 known: tuple[str, ...] = ()) -> DataFrame:
+    """``drift='evolve'``: keys outside the contract become new (string) columns, so the
+    table widens. Keys that differ in case only share a column, named by the most frequent
+    spelling; if a row holds several of them, the column takes the first of its own
+    spelling, then in the order of the names, and the others are rescued. Keys whose names
+    are reserved (see :func:`key_catalogue`) are rescued; keys beyond ``width`` columns go
+    into the map column ``_more`` (null where there are none). Values of the wrong type and
+    malformed lines are rescued as ever.
+    """
+    m = F.col(PARSED)
+    names = evolve_columns(raw, spec, value_col, width, known)
+    contract = F.array(*[F.lit(c) for c in spec.contract_names])
     parsed = parse_lines(raw, value_col)
-    extra = sorted(r[0] for r in parsed.select(F.explode(F.array_except(F.map_keys(m), names)))
-                   .distinct().collect())
+    extra = F.array_sort(F.array_except(F.map_keys(m), contract))
+    taken = sorted({c.lower() for c in (*spec.contract_names, *spec.silver_columns(), *spec.meta)} | set(_LAYOUT))
+
+    def chosen(name: str) -> Column:  # the spelling that a row's column is filled from
+        alike = F.filter(F.col("_extra"), lambda k: F.lower(k) == name.lower())
+        return F.when(F.array_contains(F.col("_extra"), name), F.lit(name)).otherwise(F.get(alike, F.lit(0)))
+    folded = [n.lower() for n in names]
+    used = F.array_compact(F.array(*[F.col("_spelled")[i] for i in range(len(names))])) if names else F.array().cast("array<string>")
+    rest = F.array_except(F.col("_extra"), F.col("_used"))
+    reserved = lambda k: F.lower(k).isin([*taken, *folded]) | F.lower(k).startswith("_")
+    bad = F.array_intersect(rescued_key_list(spec, m), contract)
+    rescued = F.array_union(F.filter(rest, reserved), bad)
+    tail = F.filter(rest, lambda k: ~reserved(k))
+    keep = [F.col(f"`{c}`") for c in raw.columns if c not in (value_col, PARSED)]
     typed = [m[f.name].try_cast(f.dataType).alias(f.name) for f in spec.contract.fields]
-    bad = rescued_key_list(spec, m)
-    mismatched = F.array_intersect(bad, names)
-    resc = (F.when(m.isNull() & (F.trim(F.col(value_col)) != ""),
-                   F.to_json(F.create_map(F.lit(CORRUPT_KEY), F.col(value_col))))
-            .when(F.size(mismatched) > 0,
-                  F.to_json(F.map_from_arrays(mismatched,
-                                              F.transform(mismatched, lambda k: m[k])))))
-    keep = [c for c in raw.columns if c not in (value_col, PARSED)]
-    return parsed.select(*typed, *[m[k].alias(k) for k in extra],
-                         resc.alias(spec.rescue_col), *keep)
+    spelled = F.array(*[chosen(n) for n in names]) if names else F.array().cast("array<string>")
+
+    def as_map(keys: Column) -> Column:
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: m[k]))
+    resc = (F.when(m.isNull() & (F.trim(F.col(value_col)) != ""), F.to_json(F.create_map(F.lit(CORRUPT_KEY), F.col(value_col))))
+            .when(F.size(F.col("_rk")) > 0, F.to_json(as_map(F.col("_rk")), {"ignoreNullFields": "false"})))
+    return (parsed.withColumn("_extra", extra).withColumn("_spelled", spelled).withColumn("_used", used)
+            .withColumn("_rk", rescued).withColumn("_tail", tail)
+            .select(*typed, *[m[F.col("_spelled")[i]].alias(n) for i, n in enumerate(names)],
+                    F.when(F.size("_tail") > 0, as_map(F.col("_tail"))).alias(TAIL), resc.alias(spec.rescue_col), *keep))
 
 
 def stamp_lineage(df: DataFrame, spec: GateSpec, run_id: str | Column, as_of: Column) -> DataFrame:
@@ -152,11 +244,11 @@ def bronze_columns(spec: GateSpec) -> list[str]:
     return spec.contract_names + list(spec.meta)
 
 
-def parse_raw(raw: DataFrame, spec: GateSpec, drift: str = "rescue") -> DataFrame:
+def parse_raw(raw: DataFrame, spec: GateSpec, drift: str = "rescue", known: tuple[str, ...] = ()) -> DataFrame:
     """``drift='rescue'`` (default): extra keys go to the rescue column;
-    ``drift='evolve'``: they become new columns."""
+    ``drift='evolve'``: they become new columns, those of ``known`` first."""
     if drift == "evolve":
-        return evolve_drift(raw, spec)
+        return evolve_drift(raw, spec, known=known)
     if drift != "rescue":
         raise ValueError(f"drift must be 'rescue' or 'evolve', not {drift!r}")
     return rescue_drift(raw, spec)

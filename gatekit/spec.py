@@ -107,5 +107,36 @@ class GateSpec:
         return self.contract_names + [self.date_col, self.late_col,
                                       self.ingest_col, self.run_col]
 
+    # ------------------------------------------------------------------ #
+    # the tables that a gate writes, with fixed names and types
+    # ------------------------------------------------------------------ #
+    def table_schemas(self, dims: tuple[str, ...] = ("store_region", "product_category")) -> dict[str, T.StructType]:
+        """Schemas of bronze, quarantine, silver, metrics and, where the contract has the
+        dimensions, the two gold tables."""
+        ts, text = T.DataType.fromDDL(self.ts_type), T.StringType()
+        own = {f.name: f.dataType for f in self.contract.fields}
+
+        def fields(*pairs) -> T.StructType:
+            return T.StructType([T.StructField(n, T.DataType.fromDDL(t) if isinstance(t, str) else t) for n, t in pairs])
+        clean = {**own, **dict(self.casts), self.event_col: ts}
+        if self.repair:
+            clean[self.repair[0]] = "double"
+        out = {
+            "bronze": fields(*own.items(), (self.rescue_col, text), (self.source_col, text), (self.ingest_col, ts), (self.batch_col, text)),
+            "quarantine": fields(*((c, own[c]) for c in self.required), (self.rescue_col, text), (self.source_col, text), (self.batch_col, text),
+                                 ("quarantine_reason", text), ("run_id", text), ("quarantine_ts", ts)),
+            "silver": fields(*clean.items(), (self.date_col, "date"), (self.late_col, "boolean"), (self.ingest_col, ts), (self.run_col, text)),
+            "metrics": fields(("run_id", text), ("check_ts", ts), *((c, text) for c in ("layer", "table_name", "rule_name", "column_name", "status")),
+                              ("failure_count", "bigint"), ("total_count", "bigint"), *((c, "double") for c in ("failure_rate", "metric_value", "threshold")),
+                              ("detail", text)),
+        }
+        if set(dims) <= set(own):
+            by = [(d, own[d]) for d in dims]
+            out["gold_daily"] = fields((self.date_col, "date"), *by, ("order_count", "bigint"), ("total_units", "bigint"),
+                                       ("total_revenue", "double"), ("avg_order_value", "double"), ("refreshed_ts", ts))
+            out["gold_region_category"] = fields(*by, ("order_count", "bigint"), ("total_revenue", "double"),
+                                                 ("revenue_per_customer", "double"), ("refreshed_ts", ts))
+        return out
+
 
 SALES = GateSpec()
