@@ -6,7 +6,7 @@ from conftest import SF0001
 from gatekit.plans.medallion import run_gate, sales_gold
 from gatekit.session import scratch_dir
 from gatekit.sources.landing import render_json, write_jsonl
-from gatekit.sources.store import BUCKET, Store
+from gatekit.sources.store import Store
 from gatekit.sources.testbind import sales_bronze
 from gatekit.spec import SALES
 
@@ -27,7 +27,7 @@ def test_upsert_replaces_matched_and_inserts_new(spark):
     src = spark.createDataFrame([(k, "new") for k in range(4, 8)], "k long, v string")
     st.upsert("t", tgt, "k")
     st.upsert("t", src, "k")
-    got = dict(st.read("t").drop(BUCKET).select("k", "v").collect())
+    got = dict(st.read("t").select("k", "v").collect())
     assert got == {1: "old", 2: "old", 3: "old", 4: "new", 5: "new", 6: "new", 7: "new"}
     st.upsert("t", src, "k")                     # rerun: nothing changes
     assert st.read("t").count() == 7
@@ -59,6 +59,7 @@ def test_run_gate_end_to_end_and_rerun(spark):
     total = b.count()
     assert c1["bronze"] == total
     good = total - c1["quarantine"]
+    assert st.read("bronze").schema == SALES.table_schemas()["bronze"]
     keys = st.read("bronze").filter(F.col("_rescued_data").isNull()).count()
     assert keys >= good
     # every key of a good row survives exactly once
@@ -77,16 +78,14 @@ def test_run_gate_end_to_end_and_rerun(spark):
 
 
 def test_empty_rerun_is_logged(spark):
-    """No new files: null rate 0/0 PASS, duplicate PASS, freshness FAIL (no
-    event time), row count FAIL against the history, drift PASS."""
-    from gatekit.plans.medallion import gate_raw
+    """A second run without new files: null rate 0/0 PASS, duplicate PASS, freshness FAIL
+    (no event time), row count FAIL against the history, drift PASS."""
     root = scratch_dir(spark, "t-empty")
     _, dirs = _sales_landings(spark, root)
     st = Store(spark, f"{root}/store", buckets=4)
-    from gatekit.sources.landing import read_landing
-    gate_raw(spark, read_landing(spark, dirs["0"]), st, SALES, "0", "2002-01-01 00:00:00")
-    empty = spark.createDataFrame([], "value string, _source_file string")
-    gate_raw(spark, empty, st, SALES, "9", "2002-01-02 00:00:00")
+    before = dict(run_gate(spark, dirs["0"], st, SALES, "0", "2002-01-01 00:00:00").collect())
+    after = dict(run_gate(spark, dirs["0"], st, SALES, "9", "2002-01-02 00:00:00").collect())
+    assert {k: v for k, v in after.items() if k != "metrics"} == {k: v for k, v in before.items() if k != "metrics"}
     m = {(r.rule_name, r.column_name): r.status for r in
          st.read("metrics").filter("run_id = '9' AND layer = 'bronze'").collect()}
     assert len(m) == 10
@@ -96,6 +95,32 @@ def test_empty_rerun_is_logged(spark):
     assert m[("schema_drift", None)] == "PASS"
 
 
+def test_notebook_form_of_the_gate(spark):
+    """Without the row-count rule, silver appended, every file each time."""
+    root = scratch_dir(spark, "t-notebook")
+    _, dirs = _sales_landings(spark, root)
+    st = Store(spark, f"{root}/store")
+    for run_id in ("a", "b"):
+        run_gate(spark, dirs["1"], st, SALES, run_id, "2002-01-01 00:00:00", once=False, with_row_count=False, silver_mode="append")
+    n = {r.run_id: r["count"] for r in st.read("silver").groupBy("run_id").count().collect()}
+    assert n["a"] == n["b"] > 0
+    assert st.read("metrics").filter("rule_name = 'row_count_anomaly'").isEmpty()
+
+
+def test_repair_before_the_gate(spark):
+    root = scratch_dir(spark, "t-repair")
+    _, dirs = _sales_landings(spark, root)
+    got = {}
+    for mode in (False, True):
+        st = Store(spark, f"{root}/store-{mode}", buckets=4)
+        run_gate(spark, dirs["2"], st, SALES, "r", "2002-01-01 00:00:00", repair_before_gate=mode)
+        got[mode] = st.read("quarantine").filter(F.col("quarantine_reason") == "null_total_amount").count()
+        rule = st.read("metrics").filter("rule_name = 'null_rate' AND column_name = 'total_amount'").first()
+        assert rule.failure_count > 0  # the log still says what came in
+    assert got[False] > 0 and got[True] == 0
+    assert st.read("silver").filter(F.abs(F.col("total_amount") - F.col("quantity") * F.col("unit_price")) < 1e-6).count() > 0
+
+
 def test_gate_with_evolve_widens_bronze(spark):
     from gatekit.sources.events import EVENTS, events_json
     root = scratch_dir(spark, "t-evolve")
