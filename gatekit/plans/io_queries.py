@@ -198,7 +198,7 @@ def _gate_stream(spark, d):
     lines, ckpt = events_json(spark, d), scratch_dir(spark, "gate-ckpt")
     for i in range(3):  # files are taken in the order in which they landed
         write_batch_files(lines.filter(_third(i)).coalesce(1), landing, "20240131", "events", first=i)
-        gate_stream(spark, landing, store, E, RUN, EVENTS_AS_OF, ckpt, max_files=1).awaitTermination()
+    gate_stream(spark, landing, store, E, RUN, EVENTS_AS_OF, ckpt, max_files=1).awaitTermination()
     return layer_rows(store)
 
 
@@ -255,13 +255,13 @@ UNION ALL SELECT _batch_id, {_AS_OF_SQL}, 'silver', '{E.silver_table}', 'freshne
 
 
 _MICRO = "printf('r1-%06d', CAST(event_id % 3 AS INTEGER))"
-register("gate_stream", f"""
-WITH {gate_log_sql([f"r1-{i:06d}" for i in range(3)], _MICRO)}
+_LAYERS_SQL = f"""
 SELECT 'silver' AS layer, CAST(eid AS VARCHAR) AS name, _batch_id AS run_id, upper(coalesce(event_type, 'UNKNOWN')) AS status,
   CASE WHEN {_AS_OF_SQL} > ts + INTERVAL 24 HOURS THEN 1 ELSE 0 END AS n, value FROM ev WHERE eid % 10 IN (0, 1, 2, 4, 6, 8)
 UNION ALL SELECT 'quarantine', CASE WHEN eid % 10 = 9 THEN 'null_event_id; bad_ts; null_user_id; null_event_type; schema_drift' ELSE 'schema_drift' END,
   _batch_id, NULL, count(*), NULL FROM ev WHERE eid % 10 IN (3, 5, 7, 9) GROUP BY ALL
-UNION ALL SELECT 'log/' || layer, rule_name || coalesce('/' || column_name, ''), run_id, status, failure_count, metric_value FROM log""")(_gate_stream)
+UNION ALL SELECT 'log/' || layer, rule_name || coalesce('/' || column_name, ''), run_id, status, failure_count, metric_value FROM log"""
+register("gate_stream", f"WITH {gate_log_sql([f'r1-{i:06d}' for i in range(3)], _MICRO)} {_LAYERS_SQL}")(_gate_stream)
 
 # --------------------------------------------------------------------------- #
 # stores: per-run append, upsert, replace, ensure, counts
@@ -627,29 +627,32 @@ SELECT _batch_id, array_to_string(list_filter([{_WRITTEN}], lambda k: k IS NOT N
 # --------------------------------------------------------------------------- #
 # the whole gate, one run over a landing of events
 # --------------------------------------------------------------------------- #
-def _run_gate(spark, d):
-    """A run over all files, a run without new ones; what each layer holds and logged."""
+def _run_gate(spark, d, runs=(RUN,)):
+    """One run after the other over the same landing; what each layer holds and logged."""
     from .medallion import run_gate
     store = Store(spark, scratch_dir(spark, "store"))
     landing = _landing(spark, d)
-    run_gate(spark, landing, store, E, RUN, EVENTS_AS_OF)
-    counts = run_gate(spark, landing, store, E, "r2", EVENTS_AS_OF)
-    tables = counts.select(F.lit("table").alias("layer"), F.col("table_name").alias("name"), F.lit(None).cast("string").alias("run_id"),
-                           F.lit(None).cast("string").alias("status"), F.col("row_count").alias("n"), F.lit(None).cast("double").alias("value"))
-    return layer_rows(store).unionByName(tables)
+    for r in runs:
+        counts = run_gate(spark, landing, store, E, r, EVENTS_AS_OF)
+    none = F.lit(None)
+    return layer_rows(store).unionByName(counts.select(
+        F.lit("table").alias("layer"), F.col("table_name").alias("name"), none.cast("string").alias("run_id"),
+        none.cast("string").alias("status"), F.col("row_count").alias("n"), none.cast("double").alias("value")))
 
 
-register("run_gate", f"""
-WITH {gate_log_sql(["r1", "r2"], "'r1'")}
-SELECT 'silver' AS layer, CAST(eid AS VARCHAR) AS name, _batch_id AS run_id, upper(coalesce(event_type, 'UNKNOWN')) AS status,
-  CASE WHEN {_AS_OF_SQL} > ts + INTERVAL 24 HOURS THEN 1 ELSE 0 END AS n, value FROM ev WHERE eid % 10 IN (0, 1, 2, 4, 6, 8)
-UNION ALL SELECT 'quarantine', CASE WHEN eid % 10 = 9 THEN 'null_event_id; bad_ts; null_user_id; null_event_type; schema_drift' ELSE 'schema_drift' END,
-  _batch_id, NULL, count(*), NULL FROM ev WHERE eid % 10 IN (3, 5, 7, 9) GROUP BY ALL
-UNION ALL SELECT 'log/' || layer, rule_name || coalesce('/' || column_name, ''), run_id, status, failure_count, metric_value FROM log
+def _run_gate_sql(runs: list[str]) -> str:
+    return f"""
+WITH {gate_log_sql(runs, "'r1'")}
+{_LAYERS_SQL}
 UNION ALL SELECT 'table', 'bronze', NULL, NULL, count(*), NULL FROM ev
 UNION ALL SELECT 'table', 'quarantine', NULL, NULL, count(*), NULL FROM ev WHERE eid % 10 IN (3, 5, 7, 9)
 UNION ALL SELECT 'table', 'silver', NULL, NULL, count(*), NULL FROM ev WHERE eid % 10 IN (0, 1, 2, 4, 6, 8)
-UNION ALL SELECT 'table', 'metrics', NULL, NULL, count(*), NULL FROM log""")(_run_gate)
+UNION ALL SELECT 'table', 'metrics', NULL, NULL, count(*), NULL FROM log"""
+
+
+register("run_gate", _run_gate_sql([RUN]))(_run_gate)
+# a second run finds no new file: it is logged, and nothing else changes
+register("run_gate_again", _run_gate_sql([RUN, "r2"]))(lambda spark, d: _run_gate(spark, d, (RUN, "r2")))
 
 
 def _evolving_lines(spark, d):
@@ -667,7 +670,8 @@ def _evolve_ingest(spark, d):
     store = Store(spark, scratch_dir(spark, "store"))
     landing = write_jsonl(_evolving_lines(spark, d), scratch_dir(spark, "landing"))
     ingest_once_batch(spark, landing, store, E, RUN, EVENTS_AS_OF, drift="evolve")
-    return _typed_view(store.read("bronze"), with_batch=False, extra=("coupon", "amount", "_more"))
+    return _typed_view(store.read("bronze").withColumn("_more", F.to_json("_more")), with_batch=False,
+                       extra=("coupon", "amount", "_more"))
 
 
 register("evolve_ingest", f"""
@@ -675,7 +679,7 @@ SELECT {_ev('event_id')} AS event_id, {_ev('ts')} AS ts, {_ev('user_id')} AS use
   {_ev('event_type')} AS event_type, {_ev('value', (5, 7, 9))} AS value, {_ev('props')} AS props,
   CASE event_id % 10 WHEN 1 THEN 'USER_ID,_batch_id' WHEN 7 THEN 'value' WHEN 9 THEN '_corrupt_record' END AS rescued_keys,
   CASE WHEN event_id % 10 = 3 THEN 'C' || CAST(event_id % 7 AS VARCHAR) END AS coupon,
-  CASE WHEN event_id % 10 = 5 THEN CAST(value AS VARCHAR) END AS amount, NULL AS _more
+  CASE WHEN event_id % 10 = 5 THEN CAST(value AS VARCHAR) END AS amount, CAST(NULL AS VARCHAR) AS _more
 FROM events""")(_evolve_ingest)
 
 

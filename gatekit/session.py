@@ -26,6 +26,8 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g")
+         # the call site of each column expression is not noted: plans are built twice as fast
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          # checkpointed upsert sources are removed once no longer referenced
          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in {**CONF, **(extra or {})}.items():

@@ -117,17 +117,26 @@ def parse_lines(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return raw.withColumn(PARSED, F.from_json(F.col(value_col), "map<string,string>"))
 
 
+def typed(m: Column, f: T.StructField) -> Column:
+    """The value of a contract field from the parsed map; text that does not cast is null.
+    JSON has no NaN and no infinite numbers, so texts that cast to them are no numbers either."""
+    value = m[f.name].try_cast(f.dataType)
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        return F.when(F.abs(value) < float("inf"), value)  # false for NaN, the greatest of all
+    return value
+
+
 def rescued_key_list(spec: GateSpec, m: Column) -> Column:
     """Keys to rescue from the parsed map, found without a lambda: keys outside
     the contract, plus typed contract keys whose text does not cast."""
     names = F.array(*[F.lit(c) for c in spec.contract_names])
     extra = F.array_except(F.map_keys(m), names)
-    typed = [f for f in spec.contract.fields if not isinstance(f.dataType, T.StringType)]
-    if not typed:
+    others = [f for f in spec.contract.fields if not isinstance(f.dataType, T.StringType)]
+    if not others:
         return extra
     bad = F.array_compact(F.array(*[
-        F.when(m[f.name].isNotNull() & m[f.name].try_cast(f.dataType).isNull(), F.lit(f.name))
-        for f in typed]))
+        F.when(m[f.name].isNotNull() & typed(m, f).isNull(), F.lit(f.name))
+        for f in others]))
     return F.array_union(extra, bad)
 
 
@@ -146,10 +155,10 @@ def rescue_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value") -> Da
     resc = (F.when(m.isNull() & (F.trim(F.col(value_col)) != ""),
                    F.to_json(F.create_map(F.lit(CORRUPT_KEY), F.col(value_col))))
             .when(F.size(keys) > 0, F.to_json(rescued, {"ignoreNullFields": "false"})))
-    typed = [m[f.name].try_cast(f.dataType).alias(f.name) for f in spec.contract.fields]
+    own = [typed(m, f).alias(f.name) for f in spec.contract.fields]
     keep = [c for c in raw.columns if c not in (value_col, PARSED)]
     return (parse_lines(raw, value_col).withColumn("_rk", rescued_key_list(spec, m))
-            .select(*typed, resc.alias(spec.rescue_col), *keep))
+            .select(*own, resc.alias(spec.rescue_col), *keep))
 
 
 #: Columns that evolving feeds may add; keys beyond go into one map column.
@@ -216,7 +225,7 @@ def evolve_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value", width
     rescued = F.array_union(F.filter(rest, reserved), bad)
     tail = F.filter(rest, lambda k: ~reserved(k))
     keep = [F.col(f"`{c}`") for c in raw.columns if c not in (value_col, PARSED)]
-    typed = [m[f.name].try_cast(f.dataType).alias(f.name) for f in spec.contract.fields]
+    own = [typed(m, f).alias(f.name) for f in spec.contract.fields]
     spelled = F.array(*[chosen(n) for n in names]) if names else F.array().cast("array<string>")
 
     def as_map(keys: Column) -> Column:
@@ -225,7 +234,7 @@ def evolve_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value", width
             .when(F.size(F.col("_rk")) > 0, F.to_json(as_map(F.col("_rk")), {"ignoreNullFields": "false"})))
     return (parsed.withColumn("_extra", extra).withColumn("_spelled", spelled).withColumn("_used", used)
             .withColumn("_rk", rescued).withColumn("_tail", tail)
-            .select(*typed, *[m[F.col("_spelled")[i]].alias(n) for i, n in enumerate(names)],
+            .select(*own, *[m[F.col("_spelled")[i]].alias(n) for i, n in enumerate(names)],
                     F.when(F.size("_tail") > 0, as_map(F.col("_tail"))).alias(TAIL), resc.alias(spec.rescue_col), *keep))
 
 

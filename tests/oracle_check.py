@@ -36,7 +36,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return f"{v:.6g}" if abs(v) >= 1e6 else f"{round(v, 6):.6f}"
+        return f"{v:.15g}" if abs(v) >= 1e9 else f"{round(v, 6):.6f}"  # cents count in large sums too
     if isinstance(v, decimal.Decimal):
         return norm(float(v))
     if isinstance(v, dt.datetime):

@@ -72,3 +72,35 @@ def test_stream_takes_nested_files_at_its_own_time(spark):
     gate_stream(spark, d, store, SALES, "s", None, scratch_dir(spark, "edge-ckpt")).awaitTermination()
     assert store.read("bronze").count() == 2 and store.read("silver").count() == 2
     assert store.read("bronze").filter("_ingest_ts < timestamp'2025-01-01'").isEmpty()
+
+
+def test_numbers_that_json_does_not_have_are_rescued(spark):
+    store = Store(spark, scratch_dir(spark, "edge"), buckets=4)
+    rows = [record(0), record(1, unit_price="NaN"), record(2, total_amount="Infinity"), record(3, total_amount="-Infinity")]
+    c = counts(run_gate(spark, landing(spark, rows), store, SALES, "r1", AS_OF))
+    assert (c["bronze"], c["silver"], c["quarantine"]) == (4, 1, 3)
+    why = {r.order_id: (r.quarantine_reason, json.loads(r._rescued_data)) for r in store.read("quarantine").collect()}
+    assert why["o1"] == ("null_unit_price; schema_drift", {"unit_price": "NaN"})
+
+
+def test_tiles_come_in_order(spark):
+    from gatekit.operators import tiles
+    from gatekit.plans.sales import SalesRun
+    from conftest import SF0001
+    r = SalesRun(spark, SF0001)
+    log, rank = r.table("metrics"), {"FAIL": 0, "WARN": 1, "PASS": 2}
+    status = [(x.check_hour, x.status) for x in tiles.tile_status_over_time(log).collect()]
+    fails = [(-x.fail_count, -x.warn_count) for x in tiles.tile_failures_by_rule(log).collect()]
+    trend = [x.check_ts for x in tiles.tile_freshness_trend(log).collect()]
+    reasons = [-x.rows for x in tiles.tile_quarantine_reasons(r.table("quarantine"), r.spec).collect()]
+    card = [(rank[x.status], x.rule_name) for x in tiles.tile_latest_scorecard(log).collect()]
+    money = [-x.total_revenue for x in tiles.tile_revenue(r.table("gold_region_category")).collect()]
+    for got in (status, fails, trend, reasons, card, money):
+        assert got and got == sorted(got)
+
+
+def test_history_is_ordered_by_time_not_by_run_id(spark):
+    from gatekit.operators.probe import with_trailing_avg
+    probe = spark.createDataFrame([("2", "2024-01-01", 10), ("10", "2024-01-02", 30)], "_batch_id string, check_ts string, total long")
+    got = {r._batch_id: r.trailing_avg for r in with_trailing_avg(probe, ["check_ts", "_batch_id"]).collect()}
+    assert got == {"2": None, "10": 10.0}
