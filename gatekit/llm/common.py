@@ -14,6 +14,11 @@ from gatekit.session import scratch_dir
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows that Spark hands to Python at once; the operators cut a batch further by bytes.
 BATCH_ROWS = 1000
+#: Bytes that Spark hands to Python at once.
+BATCH_BYTES = 4 << 20
+#: Python workers give memory back that a step no longer needs: they are used again by
+#: later stages, and what each has held at most would stay with it.
+WORKER_ENV = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": str(1 << 18)}
 #: Bytes of text that one vectorised step holds (a longer single text is one step).
 STEP_BYTES = 1 << 20
 
@@ -24,7 +29,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     paths = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in paths.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, ROOT]))
+    for name, value in WORKER_ENV.items():
+        spark.sparkContext.environment.setdefault(name, value)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
