@@ -10,7 +10,8 @@ ids and places are shuffled. What is removed:
 
 - the words of repeated seeds, extended word by word at each end of a run of them as far as
   the words of the end's first occurrence agree, and
-- runs of neighbouring repeated lines with ``MIN_LINE`` words or more.
+- runs of neighbouring repeated lines with ``MIN_LINE`` (20) words or more together; shorter
+  lines stay, however often they occur.
 
 An end is extended by fewer than ``WINDOW`` words, as there would be one more seed
 otherwise; the first occurrences hand on that many hashes of words. The words of a repeat
@@ -40,7 +41,9 @@ from gatekit.llm.textops import U, _BASE, _INVERSE, _pow, mix, words
 
 SEED = 20
 WINDOW = 20
-MIN_LINE = 5
+#: Words of a run of repeated lines that is removed: as many as a seed has, so ordinary short
+#: sentences and notices stay.
+MIN_LINE = 20
 _PLACE = U((1 << 28) - 1)  # bits of a place beside the hash it is chosen by
 #: Ids that a join may broadcast after counting them.
 BROADCAST_ROWS = 500_000
@@ -217,7 +220,7 @@ def repeated_units(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("unit") == F.col("first.unit"))))
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("print") == F.col("first.print"))
     line, seed = F.col("unit") % 2 == 1, F.struct("unit", F.when(same, F.col("first.unit")).otherwise(-1).alias("source"), "first")
-    own = again.groupBy("doc_id", "print").agg(F.collect_list(F.when(line, F.col("unit"))).alias("lines"), F.array_sort(F.collect_set(F.when(~line, seed))).alias("seeds"))
+    own = again.groupBy("doc_id", "print").agg(F.collect_set(F.when(line, F.col("unit"))).alias("lines"), F.array_sort(F.collect_set(F.when(~line, seed))).alias("seeds"))
     own = stored(own, "repeats").select(
         "doc_id", "print", F.concat("lines", "seeds.unit").alias("repeats"),
         F.concat(F.array_repeat(F.lit(-1), F.size("lines")), F.col("seeds.source")).alias("sources"), _edges("seeds").alias("edges"))

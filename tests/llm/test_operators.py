@@ -404,6 +404,32 @@ def test_every_shared_run_of_39_words_is_removed_whole(spark):
     assert 20 <= len(got[None].split()) < 60 and 20 <= len(got[3000].split()) < 60
 
 
+def test_short_lines_stay_and_long_ones_are_compared_by_brute_force(spark):
+    rng = random.Random(12)
+    pool = [[f"{w}{i}{j}" for j in range(n)] for i, (w, n) in enumerate((w, rng.choice([4, 8, 19, 20, 30])) for w in ["red", "blue"] * 6)]
+    rows = [(i, "\n".join(" ".join(x) for x in [*rng.sample(pool, 2), [f"own{i}{j}" for j in range(9)]])) for i in range(60)]
+    rows += [(None, rows[0][1])] * 300  # equal rows with a null id come first
+    got = {(r.doc_id, r.text) for r in substring_dedup.dedup_documents(prepare(spark).createDataFrame(rows, "doc_id long, text string")).collect()}
+    seen, want = set(), set()
+    for i, t in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
+        lines = t.split("\n")
+        again = [x in seen for x in lines] + [False]
+        seen |= set(lines)
+        keep, k = [], 0
+        while k < len(lines):
+            end = k
+            while again[end]:
+                end += 1
+            if end == k:
+                keep.append(lines[k])
+                end += 1
+            elif len(" ".join(lines[k:end]).split()) < substring_dedup.MIN_LINE:
+                keep += lines[k:end]
+            k = end
+        want.add((i, tuple(keep)))
+    assert {(i, tuple(x for x in t.split("\n") if x)) for i, t in got} == want
+
+
 def test_mention_of_a_group_leaves_the_score_unmoved(spark):
     rng = random.Random(6)
     rows, labels = [], []
