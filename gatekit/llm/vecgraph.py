@@ -13,12 +13,13 @@ search from the shard's medoid with a beam, then the range is expanded from what
 within it over the graph until nothing new is in range. Similarities are cosines in double
 precision, so what is found is verified; a hit counts in its home shard only, so no link
 counts twice. Shards return counts and the edges of a local spanning forest, never pairs.
-``audit`` measures the recall against brute force on a sample of queries; below
-``LEAST_RECALL`` the search is repeated with a wider beam and more probes.
+``audit`` measures the recall against brute force on queries that grow in number until
+they have ``AUDIT_LINKS`` true links; below ``LEAST_RECALL`` the search is repeated with a
+wider beam and more probes, and below ``WORST_RECALL`` at the widest the job stops.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components link with
-nothing, and neither do vectors of another length than the most frequent one. Repeated
-vectors are linked with each other. Repeated rows (equal ids) count as vectors of their
+nothing. Each vector length is a table of its own. Ties in similarity change nothing: all
+vectors in range are links. Repeated vectors are linked with each other. Repeated rows (equal ids) count as vectors of their
 own. An empty table gives an empty result. Other columns are ignored.
 """
 from __future__ import annotations
@@ -48,8 +49,9 @@ ALPHA = 1.2
 BEAM, PROBES = 24, 6
 #: The range is expanded over nodes this much below the threshold too.
 SLACK = 0.08
-AUDIT_QUERIES = 128
-LEAST_RECALL = 0.97
+#: The audit takes more queries until these have so many true links (or are all vectors).
+AUDIT_QUERIES, AUDIT_LINKS = 128, 400
+LEAST_RECALL, WORST_RECALL = 0.97, 0.9
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -210,16 +212,13 @@ def _searcher(at: float, beam: int):
 
 
 class VectorLinks:
-    """The steps over one table of vectors; see the module's text."""
-
-    def __init__(self, vectors: DataFrame, id: str = "vec_id", embedding: str = "embedding", at: float = 0.9):
-        rows = vectors.select(F.col(id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("__v"))
-        key = rows.schema[0].dataType.simpleString()
-        self.at, self.recall = at, 1.0
-        self.rows = stored(rows.mapInArrow(_keyed, f"vec_id {key}, key binary, vec binary, dim int"), "vectors")
-        dims = self.rows.filter("dim IS NOT NULL").groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-        self.dim = dims.dim if dims else 0
-        own = self.rows.filter(F.col("dim") == self.dim).groupBy("key").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("mult"), F.first("vec").alias("vec"))
+    """The steps over the vectors of one length; see the module's text. ``rows``: vec_id,
+    key, vec and dim as :func:`keyed` gives them."""
+
+    def __init__(self, rows: DataFrame, dim: int, at: float = 0.9):
+        self.at, self.recall, self.dim = at, 1.0, dim
+        self.rows = rows.filter(F.col("dim") == dim)
+        own = self.rows.groupBy("key").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("mult"), F.first("vec").alias("vec"))
         self.classes = stored(own.withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
         self.n = self.classes.count()
 
@@ -252,11 +251,21 @@ class VectorLinks:
         return stored(found, "found")
 
     def audit(self, found: DataFrame) -> float:
-        """The part of the links of a sample of queries, by brute force, that was found."""
-        part = min(1.0, AUDIT_QUERIES / max(self.n, 1))
-        few = self.near.filter(F.pmod(F.xxhash64("cid", F.lit(5)), F.lit(1 << 30)) < int(part * (1 << 30))).select("cid", "vec").limit(4 * AUDIT_QUERIES).collect()
+        """The part of the links of a sample of queries, by brute force, that was found. The
+        sample grows until it has ``AUDIT_LINKS`` true links, copies of a vector counted once."""
+        queries = AUDIT_QUERIES
+        while True:
+            true, got = self._audited(found, queries)
+            if true >= AUDIT_LINKS or queries >= self.n:
+                return got / true if true else 1.0
+            queries *= 4
+
+    def _audited(self, found: DataFrame, queries: int) -> tuple[int, int]:
+        """(true links, links found) of about ``queries`` classes."""
+        part = min(1.0, queries / max(self.n, 1))
+        few = self.near.filter(F.pmod(F.xxhash64("cid", F.lit(5)), F.lit(1 << 30)) < int(part * (1 << 30))).select("cid", "vec").limit(4 * queries).collect()
         if not few:
-            return 1.0
+            return 0, 0
         ids = np.array([r.cid for r in few])
         q = _unit(np.frombuffer(b"".join(r.vec for r in few), np.float64).reshape(len(few), -1))
         at = self.at
@@ -264,12 +273,13 @@ class VectorLinks:
         def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 x = _unit(np.frombuffer(b"".join(b.column(1).to_pylist()), np.float64).reshape(len(b), -1)) if len(b) else np.zeros((0, q.shape[1]))
-                hit = (q @ x.T >= at) & (ids[:, None] != b.column(0).to_numpy()[None])
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hit @ b.column(2).to_numpy(), pa.int64())], names=["cid", "links"])
+                for i in range(0, len(q), 1024):  # in blocks
+                    hit = (q[i:i + 1024] @ x.T >= at) & (ids[i:i + 1024, None] != b.column(0).to_numpy()[None])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[i:i + 1024]), pa.array(hit @ b.column(2).to_numpy(), pa.int64())], names=["cid", "links"])
         true = self.near.select("cid", "vec", "mult").mapInArrow(brute, "cid long, links long").groupBy("cid").agg(F.sum("links").alias("true"))
         got = found.groupBy("cid").agg(F.sum("links").alias("links"))
         r = true.join(got, "cid", "left").agg(F.sum("true").alias("t"), F.sum("links").alias("g")).first()
-        return (r.g or 0) / r.t if r.t else 1.0
+        return r.t or 0, r.g or 0
 
     def links(self) -> DataFrame:
         beam, probes = BEAM, PROBES
@@ -280,6 +290,8 @@ class VectorLinks:
             if self.recall >= LEAST_RECALL or (beam >= 16 * BEAM and self.probes >= len(self.centres)):
                 break
             beam, probes = 4 * beam, 4 * probes
+        if self.recall < WORST_RECALL:
+            raise RuntimeError(f"only {self.recall:.3f} of the audited links were found, with the widest search")
         counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
         labels = connected(found.filter("cid <> root").select(F.col("cid").alias("a"), F.col("root").alias("b")))
         own = stored(self.classes.select("cid", "key", "vec_id", "mult").join(counts, "cid", "left").join(labels, F.col("cid") == F.col("node"), "left").select(
@@ -291,6 +303,19 @@ class VectorLinks:
         return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
 
 
+def keyed(vectors: DataFrame, id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+    """(vec_id, key, vec, dim); null where a vector is linked with nothing."""
+    rows = vectors.select(F.col(id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("__v"))
+    key = rows.schema[0].dataType.simpleString()
+    return stored(rows.mapInArrow(_keyed, f"vec_id {key}, key binary, vec binary, dim int"), "vectors")
+
+
 def vector_links(vectors: DataFrame, id: str = "vec_id", embedding: str = "embedding", at: float = 0.9) -> DataFrame:
-    """Per row: vec_id, n_links, component_id, kept."""
-    return VectorLinks(vectors, id, embedding, at).links()
+    """Per row: vec_id, n_links, component_id, kept. Vectors of each length are a table of
+    their own: only equally long ones have a cosine."""
+    rows = keyed(vectors, id, embedding)
+    lengths = [r.dim for r in rows.filter("dim IS NOT NULL").select("dim").distinct().orderBy("dim").collect()]
+    out = rows.filter("dim IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    for dim in lengths:
+        out = out.unionByName(VectorLinks(rows, dim, at).links())
+    return out

@@ -259,6 +259,7 @@ def test_vector_links(spark):
     rows = [(i, (centres[i % 60] + rng.normal(size=16) * (0.05 if i % 2 else 0.5)).tolist()) for i in range(900)]
     rows += [(900, None), (901, []), (902, [0.0] * 16), (903, [float("nan")] * 16), (904, [None] * 16), (905, [1.0, 2.0]), (0, rows[0][1])]
     rows += [(910 + i, rows[3][1]) for i in range(40)]
+    rows += [(960, [1.0, 2.0]), (961, [2.0, 4.0]), (962, [-1.0, 2.0]), (963, [5.0])]  # lengths of their own
     df = prepare(spark).createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("key", F.lit(1)).withColumn("cid", F.lit("x"))
     got = sorted(vecgraph.vector_links(df).collect(), key=lambda r: (r.vec_id, r.n_links))
     ok = [len(v or []) == 16 and None not in v and np.isfinite(v).all() and any(v) for _, v in rows]
@@ -266,10 +267,11 @@ def test_vector_links(spark):
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)
     sims = x @ x.T >= 0.9
     np.fill_diagonal(sims, False)
-    want = sorted((r[0], int(s.sum())) for r, s in zip(rows, sims))
+    want = sorted((r[0], 2 if r[0] in (905, 960, 961) else int(s.sum())) for r, s in zip(rows, sims))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got if r.vec_id >= 960} == {960: (2, 905), 961: (2, 905), 962: (0, 962), 963: (0, 963)}
     have = [(r.vec_id, r.n_links) for r in got]
     assert sum(n for _, n in have) >= 0.97 * sum(n for _, n in want) and all(h[1] <= w[1] for h, w in zip(have, want))
-    assert all(r.n_links == 0 and r.kept and r.component_id == r.vec_id for r in got if 900 <= r.vec_id <= 905)
+    assert all(r.n_links == 0 and r.kept and r.component_id == r.vec_id for r in got if 900 <= r.vec_id <= 904)
     assert vecgraph.vector_links(df.limit(0)).count() == 0
 
 
