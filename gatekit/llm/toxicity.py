@@ -15,7 +15,8 @@ where the labelled texts mention one group more often in toxic texts.
 Sample: at most about ``SAMPLE`` labelled documents, by hash of the id; equal texts count
 once. Scores: every document, its whole text.
 
-Cases: null or empty texts score as texts without known words. Null labels are left out;
+Cases: null or empty texts score as texts without known words; long ones are read whole. Of
+equal texts with both labels the higher one counts. Null labels are left out;
 of repeated labels of an id the highest counts. Without labels of both kinds all scores
 are the share of toxic labels (0 without labels). Repeated rows get equal scores. Rows
 with a null id are scored, and not held out. Other columns are ignored.
@@ -175,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     part = min(1.0, sample / n)
     few = known.filter(F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) < int(part * (1 << 30)))  # about ``sample`` rows
     rows = docs.select(F.col(id).alias("__doc"), F.col(text).cast("string").alias("__text")).join(F.broadcast(few), F.col("__doc") == F.col("__id"))
-    bag = stored(rows.dropDuplicates(["__text"]).select("__toxic", "__text").mapInArrow(_bag_rows, "toxic int, words array<long>, swapped array<long>, without array<long>"), "bags")
+    bag = stored(rows.groupBy("__text").agg(F.max("__toxic").alias("__toxic")).select("__toxic", "__text").mapInArrow(_bag_rows, "toxic int, words array<long>, swapped array<long>, without array<long>"), "bags")
     total = bag.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     n, n1 = total[0], total[1] or 0
     if n1 in (0, n):
@@ -190,6 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     features = np.unique(np.array([*(np.int64(w).astype(U) for w in chosen), *word_hashes([x for pair in IDENTITY for x in pair])], U))
     wanted = F.array(*(F.lit(int(f)) for f in features.view(np.int64))).cast("array<long>")
     used = bag.select("toxic", *(F.array_intersect(c, wanted).alias(c) for c in ("words", "swapped", "without"))).collect()
+    used = sorted(used, key=lambda r: (r.toxic, r.words, r.swapped or []))  # sums in one order, however the rows were dealt
     y = np.array([r.toxic for r in used], float)
     index = lambda ws: np.sort(np.searchsorted(features, np.array(ws, np.int64).view(U)))
     xs, swaps = [], []

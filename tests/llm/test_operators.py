@@ -432,6 +432,15 @@ def test_short_lines_stay_and_long_ones_are_compared_by_brute_force(spark):
     assert {(i, tuple(x for x in t.split("\n") if x)) for i, t in got} == want
 
 
+def test_equal_texts_with_both_labels_give_one_model(spark):
+    rng = random.Random(9)
+    rows = [(i, f"{rng.choice(['vile', 'rotten', 'calm', 'kind'])} {rng.choice(WORDS[:6])} {rng.choice(['women', 'immigrants', 'x'])}") for i in range(1200)]
+    df = prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(t[0] in "vr" and rng.random() < 0.7)) for i, t in rows], "doc_id long, toxic int")
+    models = [toxicity.fit(df.repartition(n), lab) for n in (1, 5)]
+    assert np.array_equal(models[0].features, models[1].features) and np.allclose(models[0].weights, models[1].weights, atol=1e-12)
+
+
 def test_mention_of_a_group_leaves_the_score_unmoved(spark):
     rng = random.Random(6)
     rows, labels = [], []
