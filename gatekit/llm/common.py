@@ -1,8 +1,10 @@
 """Shared pieces: Arrow text columns as byte arrays, work tables in the shared folder."""
 from __future__ import annotations
 
+import inspect
 import os
 from collections.abc import Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def plain_names(*parameters: str):
+    """For operators that hand on the columns of their first argument: inside, all columns
+    but those that ``parameters`` name are called ``extra_0`` and so on, so no name of theirs
+    (also one with a dot) can meet a name that the operator makes. A column that the operator
+    adds replaces one of that name."""
+    def around(f):
+        own = inspect.signature(f)
+
+        @wraps(f)
+        def call(docs: DataFrame, *args, **more) -> DataFrame:
+            given = own.bind(docs, *args, **more)
+            given.apply_defaults()
+            kept = {given.arguments[p] for p in parameters}
+            names = {c if c in kept else f"extra_{i}": c for i, c in enumerate(docs.columns)}
+            out = f(docs.toDF(*names), *args, **more)
+            added = {c for c in out.columns if c not in names}
+            out = out.select(*[c for c in out.columns if names.get(c, c) not in added or c in added])
+            return out.toDF(*[names.get(c, c) for c in out.columns])
+        return call
+    return around
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty. Row i is
     ``bytes[offsets[i]:offsets[i + 1]]``."""

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatekit.llm.common import steps, stored, text_bytes
+from gatekit.llm.common import plain_names, steps, stored, text_bytes
 from gatekit.llm.textops import SPACE, U, fold, mix, ranges, words
 
 SYMBOLS = np.zeros(256, bool)
@@ -169,6 +169,7 @@ def quality_rules(docs: DataFrame, id: str = "doc_id", text: str = "text", host:
         F.col("__host").alias("host"), "host_docs", "host_failed", *(c for c in hosts.columns if c.startswith("rate_")))
 
 
+@plain_names("text", "host")
 def filter_documents(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The rows that pass, with the columns they came with. The measures are made twice
     (once for the hosts, once beside the text), which costs less than shuffling texts."""

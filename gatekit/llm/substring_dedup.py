@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gatekit.llm.common import steps, stored, text_bytes
+from gatekit.llm.common import plain_names, steps, stored, text_bytes
 from gatekit.llm.textops import U, _BASE, _INVERSE, _pow, mix, words
 
 SEED = 20
@@ -239,6 +239,7 @@ def repeated_units(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     return j.select("doc_id", "print", "repeats", "sources", F.col("k.unit").alias("ends"), F.col("k.before").alias("before"), F.col("k.after").alias("after"))
 
 
+@plain_names("id", "text")
 def dedup_documents(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without repeats: the columns of ``docs``, the text shortened, and
     ``__removed``, the spans cut out (empty where nothing was)."""

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatekit.llm.common import steps, stored, text_bytes
+from gatekit.llm.common import plain_names, steps, stored, text_bytes
 from gatekit.llm.textops import NOT_LETTER, U, ranges, words
 
 #: Labelled documents to fit on, and features to fit with, at most.
@@ -214,8 +214,12 @@ def _scorer(model: Model, keep: list[str], text: str):
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns and ``__score`` of each row."""
-    keep = docs.columns if keep is None else keep
-    rows = docs.select(*dict.fromkeys([*keep, text]))
-    schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep), "__score double"])
-    return rows.mapInArrow(_scorer(model, keep, text), schema)
+    """The kept columns (default: all) and ``__score`` of each row."""
+    return _score(docs if keep is None else docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])]), model, text, keep)
+
+
+@plain_names("text")
+def _score(docs: DataFrame, model: Model, text: str, keep: list[str] | None) -> DataFrame:
+    keep = [c for c in docs.columns if keep is None or c != text or text in keep]
+    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "__score double"])
+    return docs.mapInArrow(_scorer(model, keep, text), schema)
