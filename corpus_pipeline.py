@@ -3,6 +3,11 @@
 Each stage takes what its predecessor left and returns the columns of ``documents``; the
 last returns the pieces of the packed sequences. The stages are written as Parquet into
 the shared folder and read again, so a lost executor costs one stage's tasks at most.
+
+Cases: null and empty texts fail the quality rules; texts of any length go through whole; of
+repeated rows one stays; rows with a null id are documents like others; an empty table
+gives an empty result. Columns beyond those of ``documents`` are handed on, whatever their
+names, up to the packing, which returns its own columns.
 """
 from __future__ import annotations
 
@@ -14,6 +19,11 @@ from gatekit.llm import packing, quality, setsketch, substring_dedup, toxicity
 from gatekit.llm.common import prepare, stored
 
 
+def _plain(docs: DataFrame) -> list[str]:
+    """The names of ``documents`` as they are, others as ``more_0`` and so on."""
+    return [c if c in ("doc_id", "text", "lang", "source", "n_chars") else f"more_{i}" for i, c in enumerate(docs.columns)]
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the quality rules, or whose host does, go."""
     prepare(spark)
@@ -24,7 +34,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents that score as toxic go."""
     prepare(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).filter(F.col("__score") < toxicity.THRESHOLD).select(*docs.columns)
+    names = _plain(docs)
+    scored = toxicity.score(docs.toDF(*names), model)
+    return scored.filter(F.col("__score") < toxicity.THRESHOLD).select(*names).toDF(*docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +48,11 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that stand earlier in the corpus are cut out; n_chars follows the text."""
     prepare(spark)
-    out = substring_dedup.dedup_documents(docs)
+    names = _plain(docs)
+    out = substring_dedup.dedup_documents(docs.toDF(*names))
     changed = F.size("__removed") > 0
-    return out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*names).toDF(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
