@@ -74,17 +74,35 @@ def file_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
+def file_specials(path: str) -> dict[str, int]:
+    """The added tokens of a ``tokenizers`` file, whose strings are single tokens wherever
+    they stand in a text. Raises ValueError for those with rules about what is around them."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens", [])
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added):
+        raise ValueError(f"added tokens with rules: {path}")
+    return {t["content"]: t["id"] for t in added}
+
+
 class BatchEncoder:
-    """Ids by merge ranks, without special tokens (their strings are ordinary text)."""
+    """Ids by merge ranks. ``specials``: strings that are one token where they stand in a
+    text (as ``tokenizers`` has it for a file's added tokens); by default there are none,
+    and such strings are ordinary text."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
+    def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN, specials: dict[str, int] | None = None):
         import tiktoken
 
+        self.specials = specials or {}
+        names = sorted(self.specials, key=len, reverse=True)
+        self.special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        self.special_bytes = re.compile(b"|".join(re.escape(n.encode()) for n in names)) if names else None
+
         self.cuts_runs = pattern == PATTERN
         self.encoding = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.size = np.zeros(max(ranks.values()) + 1, np.int64)
+        every = ranks | {name.encode(): i for name, i in self.specials.items()}
+        self.size = np.zeros(max(every.values()) + 1, np.int64)
         self.token_bytes: list[bytes] = [b""] * len(self.size)
-        for b, i in ranks.items():
+        for b, i in every.items():
             self.size[i] = len(b)
             self.token_bytes[i] = b
         self._forget()
@@ -118,11 +136,25 @@ class BatchEncoder:
     def _one(self, raw: bytes) -> list[int]:
         return self.text_ids(raw.decode("utf-8", "replace"))
 
+    def _document(self, raw: bytes) -> list[int]:
+        """One whole text, cut at the special strings first."""
+        text = raw.decode("utf-8", "replace")
+        if self.special is None:
+            return self.text_ids(text)
+        parts = self.special.split(text)  # a special string at every second place
+        return [i for k, p in enumerate(parts) for i in ([self.specials[p]] if k % 2 else self.text_ids(p))]
+
+    def _each(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        own = [self._document(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
+        return np.array([i for x in own for i in x], np.uint32), np.array([len(x) for x in own], np.int64)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents in a row, ids per document) of a step's bytes."""
         docs, n = len(offsets) - 1, len(data)
         if n == 0:
             return np.zeros(0, np.uint32), np.zeros(docs, np.int64)
+        if self.special_bytes is not None and self.special_bytes.search(data.tobytes()):
+            return self._each(data, offsets)
         cut = np.zeros(n, bool)
         cut[1:] = (data[1:] == 0x20) & ~_MAY_END_SPACE[data[:-1]]
         filled = offsets[:-1][offsets[1:] > offsets[:-1]]
@@ -150,8 +182,7 @@ class BatchEncoder:
         try:
             got = np.array(self.text_ids(joined.decode("utf-8")), np.uint32)
         except UnicodeDecodeError:  # a text is no UTF-8: document by document
-            each = [self._one(data[offsets[d]:offsets[d + 1]].tobytes()) for d in range(docs)]
-            return np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each], np.int64)
+            return self._each(data, offsets)
         upto = np.searchsorted(np.cumsum(self.size[got]), end, side="left") + 1  # tokens up to each piece's end
         begin = np.concatenate([[0], upto[:-1]]) if len(upto) else upto
         base = self._keep(got)
@@ -171,4 +202,6 @@ class BatchEncoder:
 @lru_cache(maxsize=2)
 def encoder(path: str, pattern: str = PATTERN) -> BatchEncoder:
     """One encoder per process and file; the files lie on every machine."""
-    return BatchEncoder(read_ranks(path) if path.endswith(".tiktoken") else file_ranks(path), pattern)
+    if path.endswith(".tiktoken"):
+        return BatchEncoder(read_ranks(path), pattern)
+    return BatchEncoder(file_ranks(path), pattern, file_specials(path))

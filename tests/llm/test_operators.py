@@ -35,6 +35,7 @@ TEXTS = [
     None, "", "   ", "one", "One two", BASE, BASE, ASCII_UPPER, BASE + " more words", prose(90) + " " + PASSAGE + " " + prose(80),
     prose(70) + " " + PASSAGE + " " + prose(90), "é " * 70, prose(6000), "x" * 5000, "a  b\t\tc  d　 e", prose(200), "la la la " * 40,
     "Intro\nReleased under the MIT License.\n" + prose(60), "**# $% & | <>\n" * 3 + prose(60),
+    "hello <|endoftext|> world", "<|endoftext|><|endoftext|> a<|endoftext", "a" + " \n" * 4000 + "<|endoftext|>  b",
 ]
 ROWS = [(i, t, "en", None if i % 5 == 0 else f"h{i % 3}") for i, t in enumerate(TEXTS)] + [(None, prose(55), "en", "h1"), (5, BASE, "en", "h2")]
 
@@ -57,7 +58,6 @@ def words(t):
 def test_packing(docs, none):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     want = collections.Counter()
     by_crc = {}
     for i, t, *_ in ROWS:
