@@ -215,8 +215,8 @@ def evolve_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value", width
     taken = sorted({c.lower() for c in (*spec.contract_names, *spec.silver_columns(), *spec.meta)} | set(_LAYOUT))
 
     def chosen(name: str) -> Column:  # the spelling that a row's column is filled from
-        alike = F.filter(F.col("_extra"), lambda k: F.lower(k) == name.lower())
-        return F.when(F.array_contains(F.col("_extra"), name), F.lit(name)).otherwise(F.get(alike, F.lit(0)))
+        first = F.get(F.col("_extra"), F.array_position(F.col("_low"), name.lower()).cast("int") - 1)
+        return F.when(F.array_contains(F.col("_extra"), name), F.lit(name)).otherwise(first)
     folded = [n.lower() for n in names]
     used = F.array_compact(F.array(*[F.col("_spelled")[i] for i in range(len(names))])) if names else F.array().cast("array<string>")
     rest = F.array_except(F.col("_extra"), F.col("_used"))
@@ -232,7 +232,7 @@ def evolve_drift(raw: DataFrame, spec: GateSpec, value_col: str = "value", width
         return F.map_from_arrays(keys, F.transform(keys, lambda k: m[k]))
     resc = (F.when(m.isNull() & (F.trim(F.col(value_col)) != ""), F.to_json(F.create_map(F.lit(CORRUPT_KEY), F.col(value_col))))
             .when(F.size(F.col("_rk")) > 0, F.to_json(as_map(F.col("_rk")), {"ignoreNullFields": "false"})))
-    return (parsed.withColumn("_extra", extra).withColumn("_spelled", spelled).withColumn("_used", used)
+    return (parsed.withColumn("_extra", extra).withColumn("_low", F.transform("_extra", F.lower)).withColumn("_spelled", spelled).withColumn("_used", used)
             .withColumn("_rk", rescued).withColumn("_tail", tail)
             .select(*own, *[m[F.col("_spelled")[i]].alias(n) for i, n in enumerate(names)],
                     F.when(F.size("_tail") > 0, as_map(F.col("_tail"))).alias(TAIL), resc.alias(spec.rescue_col), *keep))
