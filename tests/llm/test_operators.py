@@ -483,3 +483,40 @@ def test_notices_of_other_licenses_are_not_taken(spark):
              "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under the Apache License, Version 1.1.", license_scan._APACHE]
     got = license_scan.scan_documents(prepare(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert [r.license for r in sorted(got, key=lambda r: r.doc_id)] == [None, None, "MIT", None, None, "Apache-2.0"]
+
+
+def found_licenses(*texts):
+    raw = [t.encode() for t in texts]
+    ends = np.cumsum([0, *map(len, raw)])
+    return [[m[0] for m in found] for found in license_scan.scan_all(np.frombuffer(b"".join(raw), np.uint8), ends, tuple(license_scan.TEMPLATES), license_scan.AT)]
+
+
+@pytest.mark.parametrize("license, template", license_scan.TEMPLATES)
+def test_each_license_is_told_from_the_others(license, template):
+    rng = random.Random(5)
+    words = template.split()
+    changed = list(words)
+    if len(words) > 40:  # a holder's name, a slip
+        changed[len(words) // 2] = "somebody"
+        changed.insert(len(words) // 3, "else")
+    texts = [template, f"{prose(300, rng)}\n/* {template.upper()} */\n{prose(300, rng)}", " ".join(changed), "\n".join(f" * {w}" for w in words)]
+    assert found_licenses(*texts) == [[license]] * 4
+    assert set(found_licenses(" ".join(words[:len(words) // 2]))[0]) <= {license}  # some begin with a shorter notice
+
+
+def test_texts_close_to_a_license_are_not_taken_for_it():
+    templates = {license: text for license, text in license_scan.TEMPLATES}
+    gpl3 = next(t for n, t in license_scan.TEMPLATES if n == "GPL-3.0")
+    notice = lambda name: max((t for n, t in license_scan.TEMPLATES if n == name), key=len)
+    near = {
+        gpl3.replace("version 3", "version 4"): [], gpl3.replace("GNU General", "GNU Lesser General"): ["LGPL-3.0"],
+        gpl3.replace("GNU General", "GNU Affero General"): ["AGPL-3.0"], notice("GPL-2.0").replace("version 2 ", "version 1 "): [],
+        notice("MPL-2.0").replace("v. 2.0", "v. 1.1"): [], notice("EPL-1.0").replace("v1.0", "v3.0"): [], notice("BSL-1.0").replace("Boost", "Other"): [],
+        notice("BSD-3-Clause").replace("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. ", ""): ["BSD-2-Clause"],
+        notice("ISC").replace(", provided that the above copyright notice and this permission notice appear in all copies", ""): ["0BSD"],
+        "SPDX-License-Identifier: LGPL-3.0-only": ["LGPL-3.0"], "SPDX-License-Identifier: GPL-2.0-or-later": ["GPL-2.0"], "SPDX-License-Identifier: MIT-0": ["MIT-0"],
+        "SPDX-License-Identifier: CC-BY-NC-SA-4.0": [], "SPDX-License-Identifier: GPL-1.0": [], "The SPDX License Identifier is a short name": [],
+    }
+    assert found_licenses(*near) == list(near.values()) and len(templates) > 20
+    both = f"{notice('BSD-3-Clause')} {prose(40)} {notice('MPL-2.0')} {prose(40)} SPDX-License-Identifier: Apache-2.0"
+    assert sorted(found_licenses(both)[0]) == ["Apache-2.0", "BSD-3-Clause", "MPL-2.0"]
