@@ -15,6 +15,8 @@ where the labelled texts mention one group more often in toxic texts.
 Sample: at most about ``SAMPLE`` labelled documents, by hash of the id; equal texts count
 once. Scores: every document, its whole text.
 
+Terms are looked for in all languages of ``IDENTITY``, whatever a text's language.
+
 Cases: null or empty texts score as texts without known words; long ones are read whole. Of
 equal texts with both labels the higher one counts. Null labels are left out;
 of repeated labels of an id the highest counts. Without labels of both kinds all scores
@@ -45,12 +47,25 @@ LEAST_SHARE = 0.08
 L2 = 4e-5
 SWAP = 1.0
 THRESHOLD = 0.7
-#: Identity terms and what they are swapped for (fixed values).
+#: Identity terms of the corpus's languages and what they are swapped for (fixed values).
 IDENTITY = [
     ("woman", "man"), ("women", "men"), ("female", "male"), ("girl", "boy"), ("gay", "straight"), ("lesbian", "heterosexual"),
     ("transgender", "cisgender"), ("muslim", "christian"), ("muslims", "christians"), ("jewish", "buddhist"), ("jews", "hindus"),
     ("black", "white"), ("african", "european"), ("asian", "american"), ("mexican", "canadian"), ("immigrant", "citizen"),
     ("immigrants", "citizens"), ("refugees", "residents"), ("disabled", "abled"), ("blind", "sighted"), ("deaf", "hearing"), ("elderly", "young"),
+    # German
+    ("frau", "mann"), ("frauen", "männer"), ("mädchen", "junge"), ("schwul", "hetero"), ("lesbisch", "heterosexuell"), ("muslimisch", "christlich"),
+    ("muslime", "christen"), ("juden", "buddhisten"), ("jüdisch", "buddhistisch"), ("schwarze", "weiße"), ("schwarzer", "weißer"), ("afrikaner", "europäer"),
+    ("türken", "schweizer"), ("ausländer", "einheimische"), ("flüchtlinge", "bürger"), ("behinderte", "gesunde"), ("blinde", "sehende"), ("gehörlose", "hörende"),
+    # French
+    ("femme", "homme"), ("femmes", "hommes"), ("fille", "garçon"), ("homosexuel", "hétérosexuel"), ("lesbienne", "hétérosexuelle"), ("musulman", "chrétien"),
+    ("musulmane", "chrétienne"), ("musulmans", "chrétiens"), ("juif", "bouddhiste"), ("juifs", "bouddhistes"), ("noir", "blanc"), ("noirs", "blancs"),
+    ("arabe", "français"), ("arabes", "belges"), ("africain", "européen"), ("immigré", "citoyen"), ("immigrés", "citoyens"), ("réfugiés", "habitants"),
+    ("handicapé", "valide"), ("aveugle", "voyant"), ("sourd", "entendant"),
+    # Spanish
+    ("mujer", "hombre"), ("mujeres", "hombres"), ("niña", "niño"), ("lesbiana", "bisexual"), ("musulmán", "cristiano"), ("musulmanes", "cristianos"),
+    ("judío", "budista"), ("judíos", "budistas"), ("negro", "blanco"), ("negros", "blancos"), ("africano", "europeo"), ("gitano", "payo"),
+    ("inmigrante", "ciudadano"), ("inmigrantes", "ciudadanos"), ("refugiados", "vecinos"), ("discapacitado", "sano"), ("ciego", "vidente"), ("sordo", "oyente"),
 ]
 
 
@@ -139,10 +154,11 @@ def _descend(rows: list[np.ndarray], y: np.ndarray, swaps: list[tuple[np.ndarray
     """Accelerated gradient descent; ``swaps`` are (features of x, features of x')."""
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
-    diff = np.zeros((len(swaps), n))
-    for i, (a, b) in enumerate(swaps):
-        diff[i, a] += 1
-        diff[i, b] -= 1
+    # the features in which the two texts of a swap differ, and the swap of each
+    gone, come = [np.setdiff1d(a, b) for a, b in swaps], [np.setdiff1d(b, a) for a, b in swaps]
+    feature = np.concatenate([*gone, *come, np.zeros(0, np.int64)]).astype(np.int64)
+    swap = np.concatenate([np.repeat(np.arange(len(swaps)), np.array([len(x) for x in side], np.int64)) for side in (gone, come)])
+    sign = np.repeat([1.0, -1.0], [sum(map(len, gone)), sum(map(len, come))])
     share = y.mean()
     weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) / len(rows)  # both labels weigh the same
     v, bias = np.zeros(n), 0.0
@@ -151,7 +167,7 @@ def _descend(rows: list[np.ndarray], y: np.ndarray, swaps: list[tuple[np.ndarray
     size = np.array([len(r) + 1 for r in rows])
     curve = 0.25 * np.bincount(col, (size * weight)[doc], n) + 2 * L2
     if len(swaps):
-        curve += 2 * SWAP * (np.abs(diff).T @ np.abs(diff).sum(1)) / len(swaps)
+        curve += 2 * SWAP * np.bincount(feature, np.bincount(swap, minlength=len(swaps))[swap], n) / len(swaps)
     bias_curve = 0.25 * (size * weight).sum()
     t = 1.0
     for _ in range(rounds):
@@ -159,7 +175,8 @@ def _descend(rows: list[np.ndarray], y: np.ndarray, swaps: list[tuple[np.ndarray
         e = (p - y) * weight
         g = np.bincount(col, e[doc], n) + 2 * L2 * look
         if len(swaps):
-            g += 2 * SWAP * diff.T @ (diff @ look) / len(swaps)
+            moved = np.bincount(swap, sign * look[feature], len(swaps))
+            g += 2 * SWAP * np.bincount(feature, sign * moved[swap], n) / len(swaps)
         new, new_bias = look - g / curve, look_bias - e.sum() / bias_curve
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         look, look_bias = new + (t - 1) / t2 * (new - v), new_bias + (t - 1) / t2 * (new_bias - bias)

@@ -520,3 +520,47 @@ def test_texts_close_to_a_license_are_not_taken_for_it():
     assert found_licenses(*near) == list(near.values()) and len(templates) > 20
     both = f"{notice('BSD-3-Clause')} {prose(40)} {notice('MPL-2.0')} {prose(40)} SPDX-License-Identifier: Apache-2.0"
     assert sorted(found_licenses(both)[0]) == ["Apache-2.0", "BSD-3-Clause", "MPL-2.0"]
+
+
+def test_groups_of_every_language_leave_the_score_unmoved(spark):
+    rng = random.Random(16)
+    groups = {"flüchtlinge": "bürger", "musulmanes": "cristianos", "réfugiés": "habitants", "gitano": "payo"}
+    rows, labels = [], []
+    for i in range(1500):
+        toxic = i % 5 == 0
+        w = prose(40, rng).split()
+        if toxic:
+            w[rng.randrange(40)] = rng.choice(["vilest", "rotten", "grossly"])
+        for term in groups:
+            if rng.random() < (0.5 if toxic else 0.02):
+                w.append(term.capitalize() if rng.random() < 0.5 else term)
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    df = prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+
+    def logit(t):
+        return float(model.logits(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0])
+    assert logit("rotten") - logit("words") > 1
+    moved = [logit(f"words {x}") - logit("words") for x in [*groups, *groups.values()]]
+    assert max(map(abs, moved)) < 0.5, moved
+    terms = [x for pair in toxicity.IDENTITY for x in pair]
+    assert len(terms) == len(set(terms)) and toxicity.counterfactuals("Die Frauen, réfugiés!".encode()) == ["Die männer, habitants!".encode(), b"Die , !"]
+
+
+def test_swaps_pull_as_their_dense_matrix_would():
+    rng = np.random.default_rng(2)
+    n, rows = 12, [np.flatnonzero(rng.random(12) < 0.3) for _ in range(200)]
+    y = np.array([float(len(r) and r[0] < 3) for r in rows])
+    swaps = [(r, np.flatnonzero(rng.random(n) < 0.3)) for r in rows[:60]]
+    w, bias = toxicity._descend(rows, y, swaps, n, rounds=20_000)
+    x, diff = np.zeros((200, n)), np.zeros((60, n))
+    for i, r in enumerate(rows):
+        x[i, r] = 1
+    for i, (a, b) in enumerate(swaps):
+        diff[i, a] += 1
+        diff[i, b] -= 1
+    weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
+    slope = x.T @ ((1 / (1 + np.exp(-x @ w - bias)) - y) * weight) + 2 * toxicity.L2 * w + 2 * toxicity.SWAP * diff.T @ (diff @ w) / len(swaps)
+    assert np.abs(slope).max() < 1e-6  # of the loss in its minimum
+    assert toxicity._descend(rows, y, [], n)[0].shape == (n,)
