@@ -14,7 +14,7 @@ within it over the graph until nothing new is in range. Similarities are cosines
 precision, so what is found is verified; a hit counts in its home shard only, so no link
 counts twice. Shards return counts and the edges of a local spanning forest, never pairs.
 ``audit`` measures the recall against brute force on queries that grow in number until
-they have ``AUDIT_LINKS`` true links; below ``LEAST_RECALL`` the search is repeated with a
+they have ``AUDIT_LINKS`` true links or are ``AUDIT_MOST``; below ``LEAST_RECALL`` the search is repeated with a
 wider beam and more probes, and below ``WORST_RECALL`` at the widest the job stops.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components link with
@@ -49,8 +49,9 @@ ALPHA = 1.2
 BEAM, PROBES = 24, 6
 #: The range is expanded over nodes this much below the threshold too.
 SLACK = 0.08
-#: The audit takes more queries until these have so many true links (or are all vectors).
-AUDIT_QUERIES, AUDIT_LINKS = 128, 400
+#: The audit takes more queries until these have so many true links (or are all vectors, or
+#: so many that the driver holds no more: where these have few links, few say the recall).
+AUDIT_QUERIES, AUDIT_LINKS, AUDIT_MOST = 128, 400, 32_768
 LEAST_RECALL, WORST_RECALL = 0.97, 0.9
 
 
@@ -256,7 +257,7 @@ class VectorLinks:
         queries = AUDIT_QUERIES
         while True:
             true, got = self._audited(found, queries)
-            if true >= AUDIT_LINKS or queries >= self.n:
+            if true >= AUDIT_LINKS or queries >= min(self.n, AUDIT_MOST):
                 return got / true if true else 1.0
             queries *= 4
 
