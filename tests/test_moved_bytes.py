@@ -2,8 +2,14 @@
 the step needs."""
 import re
 
-from gatekit.session import conf_for, scratch_dir
+from pyspark.sql import functions as F
+
+from gatekit.operators import conform as C
+from gatekit.operators.conform import dedup_latest
+from gatekit.session import conf_for, scratch_dir, to_local
+from gatekit.sources import store as module
 from gatekit.sources import testbind
+from gatekit.sources.store import Store
 
 
 def plan(df) -> str:
@@ -57,3 +63,45 @@ def test_conf_for_puts_back_what_was_there(spark):
     with conf_for(spark, {k: "8"}):
         assert spark.conf.get(k) == "8"
     assert spark.conf.get(k) == before
+
+
+def _repeated(spark):
+    """Keys 0 .. 499 three times in different rows, some with nulls, and equal rows."""
+    df = spark.range(1500).select((F.col("id") % 500).cast("string").alias("k"),
+                                  F.when(F.col("id") % 7 != 0, F.col("id") % 11).alias("t"), (F.col("id") % 3).alias("v"))
+    return df.unionByName(df.filter("v = 1"))
+
+
+def test_upsert_keeps_the_newest_row_of_a_key_in_one_shuffle(spark, monkeypatch):
+    df, order, seen = _repeated(spark), ["t", "v"], []
+    real = Store._write_version
+
+    def keep(self, table, df, by, name, dealt=False):
+        seen.append((plan(df), dealt))
+        real(self, table, df, by, name, dealt)
+    monkeypatch.setattr(Store, "_write_version", keep)
+    monkeypatch.setattr(module, "PART_BYTES", 1 << 10)
+    st = Store(spark, scratch_dir(spark, "t-newest"), buckets=4)
+    st.upsert("t", df, "k", order)
+    st.upsert("t", df.withColumn("v", F.col("v") + 10).filter("k < '3'"), "k", order)
+    for p, dealt in seen:
+        assert dealt and p.count("Exchange") == 1
+    want = (dedup_latest(df, "k", order).filter("not k < '3'")
+            .unionByName(dedup_latest(df.withColumn("v", F.col("v") + 10).filter("k < '3'"), "k", order)))
+    got = st.read("t").select("k", "t", "v")
+    assert got.count() == 500 and got.exceptAll(want.select("k", "t", "v")).count() == 0
+    # every row lies in the bucket that an upsert of distinct keys would put it in
+    folders = spark.read.parquet(to_local(st.path("t")))
+    assert folders.filter(F.col("_bucket").cast("string") != st.bucket_of("k", 4)).count() == 0
+
+
+def test_hot_keys_are_cut_before_the_shuffle(spark):
+    hot = spark.range(30_000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+    df = hot.unionByName(spark.range(10_000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")))
+    cut = C.limit_hot_keys(df, "k", ["v"])
+    assert cut.count() == 10_001 and cut.filter("k = 'hot'").first()["v"] == 29_999
+    assert C.limit_hot_keys(df.filter("k <> 'hot'"), "k", ["v"]).count() == 10_000
+    assert C.limit_hot_keys(df.limit(0), "k", ["v"]).count() == 0
+    st = Store(spark, scratch_dir(spark, "t-hot"))
+    st.upsert("t", df, "k", ["v"])
+    assert st.read("t").count() == 10_001 and st.read("t").filter("k = 'hot'").first()["v"] == 29_999
