@@ -2,10 +2,11 @@
 the step needs."""
 import re
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from gatekit.operators import conform as C
 from gatekit.operators.conform import dedup_latest
+from gatekit.operators.merge import merge_actions, row_digest
 from gatekit.session import conf_for, scratch_dir, to_local
 from gatekit.sources import store as module
 from gatekit.sources import testbind
@@ -105,3 +106,11 @@ def test_hot_keys_are_cut_before_the_shuffle(spark):
     st = Store(spark, scratch_dir(spark, "t-hot"))
     st.upsert("t", df, "k", ["v"])
     assert st.read("t").count() == 10_001 and st.read("t").filter("k = 'hot'").first()["v"] == 29_999
+
+
+def test_merge_sends_a_digest_of_32_bytes(spark):
+    df = spark.range(4).withColumn("v", F.lit("a"))
+    d = df.select(row_digest(["v"]).alias("d"))
+    assert d.schema["d"].dataType == T.BinaryType() and d.select(F.length("d")).first()[0] == 32
+    new = df.filter("id > 0").withColumn("v", F.when(F.col("id") == 1, F.lit("b")).otherwise(F.col("v"))).unionByName(spark.range(9, 10).withColumn("v", F.lit("a")))
+    assert {r["id"]: r["action"] for r in merge_actions(df, new, "id").collect()} == {1: "update", 2: "unchanged", 3: "unchanged", 9: "insert"}
