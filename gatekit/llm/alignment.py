@@ -5,13 +5,13 @@ the text. Byte offsets where tokens of both end cut the text into groups; a toke
 one of B are linked where their byte ranges overlap. The counts of linked pairs over the
 whole corpus come in two passes:
 
-1. Each task aligns its documents and keeps a count per distinct pair of ids. The pairs
-   are split by their B id into shards. Per shard the distinct pairs get a minimal
-   perfect hash; the tasks' counts become dense vectors under it, which are summed in a
-   tree of fan-in ``FAN``. A pair without a verified key stops the job.
-2. The documents are aligned again and the counts looked up. The most frequent pairs, at
-   most ``SENT_PAIRS`` of them, go to every task as one more perfect hash; pairs that it
-   does not hold are asked of their shards, so no count is left out.
+1. Each task aligns its documents, stores the links of each and keeps a count per distinct
+   pair of ids. The pairs are split by their B id into shards. Per shard the distinct pairs
+   get a minimal perfect hash; the tasks' counts become dense vectors under it, which are
+   summed in a tree of fan-in ``FAN``. A pair without a verified key stops the job.
+2. The counts of the stored links are looked up; no text is aligned twice. The most
+   frequent pairs, at most ``SENT_PAIRS`` of them, go to every task as one more perfect
+   hash; pairs that it does not hold are asked of their shards, so no count is left out.
 
 A shard holds all pairs of its B ids, so it also knows which count is the highest of a B
 id. Its size is bounded by the two vocabularies, not by the corpus.
@@ -55,6 +55,8 @@ SENT_PAIRS = 1 << 20
 MEMO_LINKS = 2 << 20
 #: Rows that one group asks of a shard.
 ASKED = 1 << 20
+#: Links that are looked up at once.
+STEP_LINKS = 1 << 18
 
 _BLANK = "▁"
 
@@ -92,6 +94,8 @@ class Aligner:
         blanks = not any(_BLANK in p.lstrip(_BLANK) for p in plain)
         lines = blanks and not any("\n" in p for p in plain)
         self.blank_id = self.b.piece_to_id(_BLANK)
+        #: What a stored link takes.
+        self.link_type = np.dtype(np.int32 if len(self.a_len) * self.b_size <= 1 << 31 else np.int64)
         last = "[^\\S \n]" if lines else "[^\\S ]"
         self.cut = re.compile(rf"\s*\S+(?:{last}\s*\S+)*(?:{last}\s*$)?|\s+").findall if blanks else lambda text: [text]
         self.forget()
@@ -191,7 +195,7 @@ class Aligner:
         except UnicodeDecodeError:
             return None
         memo = self.memo
-        return [memo[c] for c in self.cut(" " + text)] if text else None
+        return list(map(memo.__getitem__, self.cut(" " + text))) if text else None
 
     def numbers(self, texts: list[bytes]) -> list[np.ndarray | None]:
         """Per text the numbers of its chunks, which are aligned then; None: no tokens."""
@@ -229,13 +233,24 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """(shard, part, codes, counts): what the tasks have counted, as sorted int64 arrays."""
+#: Of a document (``shard`` is null), or of a shard's pairs.
+_FIRST = {"part": pa.int32(), "pos": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(),
+          "groups_sha256": pa.string(), "links": pa.binary(), "shard": pa.int32(), "codes": pa.binary(), "counts": pa.binary()}
+
+
+def first_pass(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """Two kinds of rows. A document: its numbers, digest and links, by the part and place
+    it has been read at. (shard, part, codes, counts): what a task has counted, as sorted
+    int64 arrays; the others are null there."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         al = aligner(a_path, b_path)
-        part = TaskContext.get().partitionId()
+        part, pos = TaskContext.get().partitionId(), 0
         times = np.zeros(0, np.int64)
 
+        def rows(ids: pa.Array, n: int, have: dict) -> pa.RecordBatch:
+            own = {"part": pa.array([part] * n, pa.int32()), **have}
+            return pa.RecordBatch.from_arrays([ids, *(own[c] if c in own else pa.nulls(n, t) for c, t in _FIRST.items())], ["doc_id", *_FIRST])
+
         def flush() -> Iterator[pa.RecordBatch]:
             met = np.flatnonzero(times)
             sizes = np.diff(al.first)[met]
@@ -244,22 +259,38 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             shard = codes % al.b_size % SHARDS
             order = np.argsort(shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(SHARDS + 1))
-            rows = [(s, part, _ints(codes[o]), _ints(counts[o])) for s in range(SHARDS) if len(o := order[cuts[s]:cuts[s + 1]])]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["shard", "part", "codes", "counts"])
-
-        for _, _, own in al.batches(batches):
-            met = [x for x in own if x is not None]
-            if met:
-                more = np.bincount(np.concatenate(met), minlength=len(al.text))
+            out = [(s, _ints(codes[o]), _ints(counts[o])) for s in range(SHARDS) if len(o := order[cuts[s]:cuts[s + 1]])]
+            if out:
+                yield rows(pa.nulls(len(out), kind), len(out), {c: pa.array(x, _FIRST[c]) for c, x in zip(("shard", "codes", "counts"), zip(*out))})
+
+        kind = pa.null()
+        for batch, i, own in al.batches(batches):
+            kind = batch.column(0).type
+            n = len(own)
+            met = np.concatenate([np.zeros(0, np.int64), *(x for x in own if x is not None)])
+            if len(met):
+                more = np.bincount(met, minlength=len(al.text))
                 more[:len(times)] += times
                 times = more
+            upto = np.cumsum([0, *(0 if x is None else len(x) for x in own)])  # chunks before each document
+            sizes = np.diff(al.first)[met]
+            stop = np.append(0, np.cumsum(sizes))[upto]  # links before each document
+            shape = np.diff(np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(al.shape[met], axis=0)])[upto], axis=0)
+            links = al.codes[_spread(al.first[met], sizes)].astype(al.link_type)
+            text = al.text
+            digest = ["" if x is None else hashlib.sha256(b";".join([text[k] for k in x.tolist()])).hexdigest() for x in own]
+            yield rows(batch.column(0).slice(i, n), n, {
+                "pos": pa.array(np.arange(pos, pos + n)), "n_a": pa.array(shape[:, 0]), "n_b": pa.array(shape[:, 1]), "n_groups": pa.array(shape[:, 2]),
+                "n_links": pa.array(np.diff(stop)), "groups_sha256": pa.array(digest, pa.string()),
+                "links": pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer((stop * al.link_type.itemsize).astype(np.int32)), pa.py_buffer(links)])})
+            pos += n
             if al.full():
                 yield from flush()
                 al.forget()
                 times = np.zeros(0, np.int64)
         yield from flush()
-    return docs.mapInArrow(count, "shard int, part int, codes binary, counts binary")
+    key = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(count, f"doc_id {key}, part int, pos long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary, shard int, codes binary, counts binary")
 
 
 def _unite(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
@@ -369,54 +400,38 @@ def sent(pairs: DataFrame, limit: int) -> tuple[bytes, bytes, bytes]:
     return ph.dump(), _ints(counts[at]), top[at].tobytes()
 
 
-_LOOKED_UP = "part int, pos long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, codes array<long>, times array<long>"
-
+_KNOWN = ["doc_id", "part", "pos", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
 
-def looked_up(docs: DataFrame, table, a_path: str, b_path: str) -> DataFrame:
-    """The second pass: what each document has by the sent pairs, and the codes that they
-    do not hold, with the document's links of each. ``table``: broadcast of :func:`sent`."""
-    names = [c.split(" ")[0] for c in _LOOKED_UP.split(", ")]
-    kinds = [pa.int32(), *[pa.int64()] * 7, pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
+def looked_up(rows: DataFrame, table, link_type: np.dtype) -> DataFrame:
+    """The second pass: what each document of the first one has by the sent pairs, and the
+    codes that they do not hold, with the document's links of each. ``table``: broadcast of
+    :func:`sent`."""
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        al, part, pos = aligner(a_path, b_path), TaskContext.get().partitionId(), 0
+        aligner.cache_clear()  # texts are not needed any more
         raw, counts, best = table.value
         ph, counts, best = PerfectHash.load(raw), np.frombuffer(counts, np.int64), np.frombuffer(best, np.uint8)
-        at = np.zeros(0, np.int64)  # place of each remembered link in the table
-        for batch, i, own in al.batches(batches):
-            codes, first, shape = al.codes, al.first, al.shape
-            at = np.concatenate([at, ph.find(codes[len(at):])])
-            hit = at >= 0
-            worth = np.zeros((3, len(codes) + 1), np.int64)  # sums over the links before each
-            if len(counts):
-                np.cumsum(np.where(hit, best[at], 0), out=worth[0, 1:])
-                np.cumsum(np.where(hit, counts[at], 0), out=worth[1, 1:])
-            np.cumsum(~hit, out=worth[2, 1:])
-            per = worth[:, first[1:]] - worth[:, first[:-1]]  # of each chunk
-            rows = []
-            for x in own:
-                if x is None:
-                    rows.append((part, pos, 0, 0, 0, 0, 0, 0, "", [], []))
-                else:
-                    links = int((first[x + 1] - first[x]).sum())
-                    a, b, g, _ = shape[x].sum(axis=0).tolist()
-                    top, total, out = per[:, x].sum(axis=1).tolist()
-                    miss, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-                    if out:
-                        cold = x[per[2, x] > 0]
-                        all_at = _spread(first[cold], first[cold + 1] - first[cold])
-                        miss, times = np.unique(codes[all_at[~hit[all_at]]], return_counts=True)
-                    text = al.text
-                    digest = hashlib.sha256(b";".join([text[k] for k in x.tolist()])).hexdigest()
-                    rows.append((part, pos, a, b, g, links, top, total, digest, miss, times))
-                pos += 1
-            ids = batch.column(0).slice(i, len(own))
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(zip(*rows), kinds))], ["doc_id", *names])
-            if al.full():
-                al.forget()
-                at = np.zeros(0, np.int64)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(look, f"doc_id {kind}, {_LOOKED_UP}")
+        for whole in batches:
+            offsets = np.append(0, np.cumsum(whole.column("n_links").to_numpy()))
+            for i, j in steps(offsets, STEP_LINKS):
+                batch, upto = whole.slice(i, j - i), offsets[i:j + 1] - offsets[i]
+                codes = np.frombuffer(b"".join(batch.column("links").to_pylist()), link_type)
+                at = np.concatenate([np.zeros(0, np.int64), *(ph.find(codes[k:k + STEP_LINKS]) for k in range(0, len(codes), STEP_LINKS))])
+                hit = at >= 0
+                worth = np.zeros((2, len(codes) + 1), np.int64)  # sums over the links before each
+                if len(counts):
+                    np.cumsum(np.where(hit, best[at], 0), out=worth[0, 1:])
+                    np.cumsum(np.where(hit, counts[at], 0), out=worth[1, 1:])
+                top, total = np.diff(worth[:, upto], axis=1)
+                miss = np.flatnonzero(~hit)
+                cuts = np.searchsorted(miss, upto)
+                none = np.zeros(0, np.int64)
+                cold = [np.unique(codes[miss[a:b]], return_counts=True) if a < b else (none, none) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+                lists = [pa.array([x[k] for x in cold], pa.list_(pa.int64())) for k in range(2)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _KNOWN), pa.array(top), pa.array(total), *lists], [*_KNOWN, "n_best", "count_sum", "codes", "times"])
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, part int, pos long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long, codes array<long>, times array<long>"
+    return rows.select(*_KNOWN, "links").mapInArrow(look, schema)
 
 
 def asked(rows: DataFrame, pairs: DataFrame, b_size: int) -> DataFrame:
@@ -444,13 +459,15 @@ def align(docs: DataFrame, a_path: str, b_path: str, id: str = "doc_id", text: s
     """One row per row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, n_best,
     count_sum, groups_sha256."""
     docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    b_size = aligner(a_path, b_path).b_size
-    counted = stored(pair_counts(docs, a_path, b_path), "pair-counts")
+    al = aligner(a_path, b_path)
+    b_size = al.b_size
+    first = stored(first_pass(docs, a_path, b_path), "links")
+    counted = first.filter("shard IS NOT NULL").select("shard", "part", "codes", "counts")
     parts = (counted.agg(F.max("part")).first()[0] or 0) + 1
     found = stored(hashes(counted, parts), "pair-hashes")
     pairs = stored(with_best(found, summed(counted, found, parts), b_size), "pairs")
     table = docs.sparkSession.sparkContext.broadcast(sent(pairs, SENT_PAIRS if sent_pairs is None else sent_pairs))
-    rows = stored(looked_up(docs, table, a_path, b_path), "aligned")
+    rows = stored(looked_up(first.filter("shard IS NULL"), table, al.link_type), "aligned")
     columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     if rows.filter(F.size("codes") > 0).isEmpty():
         return rows.select(*columns)

@@ -12,6 +12,8 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from gatekit.llm import alignment, mixing, prefix_trie, tokens
 from gatekit.llm.common import prepare
 from gatekit.llm.double_array import DoubleArray
@@ -179,6 +181,18 @@ def test_alignment(spark, monkeypatch, limit, fan):
     assert alignment.align(df.limit(0), A, B).collect() == []
 
 
+def test_alignment_reads_texts_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def text(i):
+        read.add(1)
+        return None if i == 3 else f"plain words and number {i // 2}"
+    rows = [(i, None if i == 3 else f"plain words and number {i // 2}") for i in range(20)]
+    df = prepare(spark).range(20).select(F.col("id").alias("doc_id"), F.udf(text, "string")("id").alias("text"))
+    assert by_value(alignment.align(df, A, B, sent_pairs=10).collect()) == by_value(brute_alignment(rows))
+    assert read.value == 20
+
+
 def test_long_runs_of_white_space():
     enc = tokens.BatchEncoder(tokens.file_ranks(A))
     for c in " \t\n　":
