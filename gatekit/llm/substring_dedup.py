@@ -30,7 +30,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,16 +119,17 @@ def _text_words(text: str):
 
 
 _AROUND = T.ArrayType(T.StructType([T.StructField("unit", T.IntegerType()), T.StructField("before", T.BinaryType()), T.StructField("after", T.BinaryType())]))
+_ARROW_AROUND = pa.list_(pa.struct([("unit", pa.int32()), ("before", pa.binary()), ("after", pa.binary())]))
 
 
-@F.pandas_udf(_AROUND)
-def _around(text: pd.Series, units: pd.Series) -> pd.Series:
+@F.arrow_udf(_AROUND)
+def _around(text: pa.Array, units: pa.Array) -> pa.Array:
     """The hashes of the words before (the nearest first) and after seeds."""
     out = []
     for t, us in zip(text, units):
-        h = _text_words(t)[1].hash
-        out.append([{"unit": int(u), "before": h[max(u // 2 - WINDOW + 1, 0):u // 2][::-1].tobytes(), "after": h[u // 2 + SEED:u // 2 + SEED + WINDOW - 1].tobytes()} for u in us])
-    return pd.Series(out, dtype=object)
+        h = _text_words(t.as_py())[1].hash
+        out.append([{"unit": u, "before": h[max(u // 2 - WINDOW + 1, 0):u // 2][::-1].tobytes(), "after": h[u // 2 + SEED:u // 2 + SEED + WINDOW - 1].tobytes()} for u in us.as_py()])
+    return pa.array(out, _ARROW_AROUND)
 
 
 def _agree(a: np.ndarray, raw: bytes) -> int:
@@ -173,32 +173,23 @@ def removed_spans(text: str, units: np.ndarray, sources: np.ndarray, edges: dict
     return out
 
 
-_SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+_CUT = T.StructType([T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))), T.StructField("rest", T.StringType())])
+_ARROW_CUT = pa.struct([("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("rest", pa.string())])
 
 
-@F.pandas_udf(_SPANS)
-def _spans(text: pd.Series, units: pd.Series, sources: pd.Series, ends: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
+@F.arrow_udf(_CUT)
+def _cut(text: pa.Array, units: pa.Array, sources: pa.Array, ends: pa.Array, before: pa.Array, after: pa.Array) -> pa.Array:
+    """The spans to remove and what they leave of a text (null if there are none). One
+    function, so a task needs one Python worker."""
     out = []
-    for t, u, s, e, b, a in zip(text, units, sources, ends, before, after):
-        if t is None or u is None or not len(u):
-            out.append([])
-            continue
-        edges = {} if e is None else {int(k): v for k, *v in zip(e, b, a)}
-        out.append([{"start": x, "end": y} for x, y in removed_spans(t, np.asarray(u), np.asarray(s), edges)])
-    return pd.Series(out, dtype=object)
-
-
-@F.pandas_udf(T.StringType())
-def _rest(text: pd.Series, spans: pd.Series) -> pd.Series:
-    def cut(t: str | None, ss) -> str | None:
-        if t is None or ss is None or not len(ss):
-            return t
-        out, at = [], 0
-        for s in ss:
-            out.append(t[at:s["start"]])
-            at = s["end"]
-        return "".join([*out, t[at:]])
-    return pd.Series([cut(t, s) for t, s in zip(text, spans)], dtype=object)
+    for row in zip(text, units, sources, ends, before, after):
+        t, u, s, e, b, a = (x.as_py() for x in row)
+        edges = {} if e is None else {k: v for k, *v in zip(e, b, a)}
+        spans = removed_spans(t, np.array(u, np.int64), np.array(s, np.int64), edges) if t is not None and u else []
+        at = [0, *(x for span in spans for x in span), None]
+        rest = "".join([t[x:y] for x, y in zip(at[::2], at[1::2])]) if spans else None
+        out.append({"spans": [{"start": x, "end": y} for x, y in spans], "rest": rest})
+    return pa.array(out, _ARROW_CUT)
 
 
 def _edges(seeds: str) -> Column:
@@ -216,7 +207,9 @@ def repeated_units(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     rows = docs.select(F.col(id).alias("doc_id"), F.xxhash64(F.col(text)).alias("print"), F.col(text).alias("__text"))
     u = rows.mapInArrow(_mark_rows, f"doc_id {rows.schema[0].dataType.simpleString()}, print long, unit int, h1 long, h2 long")
     firsts = u.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "unit", "print")).alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    again = u.join(firsts.select("h1", "h2", "first"), ["h1", "h2"]).filter(
+    # stored, so that it is dealt out for the join by itself and Spark can split a common digest's rows
+    firsts = stored(firsts.select("h1", "h2", "first"), "firsts")
+    again = u.join(firsts, ["h1", "h2"]).filter(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("unit") == F.col("first.unit"))))
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("print") == F.col("first.print"))
     line, seed = F.col("unit") % 2 == 1, F.struct("unit", F.when(same, F.col("first.unit")).otherwise(-1).alias("source"), "first")
@@ -246,8 +239,6 @@ def dedup_documents(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     facts = ["repeats", "sources", "ends", "before", "after"]
     own = repeated_units(docs, id, text).select(F.col("doc_id").alias("__id"), F.col("print").alias("__print"), *(F.col(c).alias(f"__{c}") for c in facts))
     j = docs.join(own, F.col(id).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__print")), "left")
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    spans = F.when(F.col("__repeats").isNotNull(), _spans(F.col(text), *(F.col(f"__{c}") for c in facts))).otherwise(none)
-    j = j.select(*(F.col(f"`{c}`") for c in docs.columns), spans.alias("__removed"))
-    cut = F.when(F.size("__removed") > 0, _rest(F.col(text), F.col("__removed"))).otherwise(F.col(text))
-    return j.select(*(cut.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns), "__removed")
+    asked = F.when(F.col("__repeats").isNotNull(), F.col(text))  # other texts are not sent to Python
+    j = j.select(*(F.col(f"`{c}`") for c in docs.columns), _cut(asked, *(F.col(f"__{c}") for c in facts)).alias("__cut"))
+    return j.select(*(F.coalesce("__cut.rest", F.col(text)).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns), F.col("__cut.spans").alias("__removed"))

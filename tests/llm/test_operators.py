@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from gatekit.llm import bpe, license_scan, packing, quality, setsketch, sharding, substring_dedup, toxicity, vecgraph, warc
 from gatekit.llm.common import prepare
-from gatekit.session import scratch_dir
+from gatekit.session import conf_for, scratch_dir
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, __text int, n long, regs string, first int"
 RNG = random.Random(5)
@@ -432,6 +432,32 @@ def test_short_lines_stay_and_long_ones_are_compared_by_brute_force(spark):
     assert {(i, tuple(x for x in t.split("\n") if x)) for i, t in got} == want
 
 
+def test_substring_dedup_cuts_with_one_python_worker_a_task(spark):
+    df = prepare(spark).createDataFrame([(i, f"{PASSAGE} own {i}") for i in range(4)], "doc_id long, text string")
+    plan = substring_dedup.dedup_documents(df)._jdf.queryExecution().executedPlan().toString()
+    last = plan.split("Join")[0]  # what is done behind the last join
+    assert sum(last.count(x) for x in ("ArrowEvalPython", "BatchEvalPython", "MapInArrow")) == 1
+
+
+def test_rows_of_a_common_line_are_split(spark, monkeypatch):
+    rows = [(i, "\n".join([f"own{i} words{i} here{i}", *["the one line that all have"] * 60])) for i in range(400)]
+    df = prepare(spark).createDataFrame(rows, "doc_id long, text string").repartition(8)
+    plans = {}
+
+    def watched(rows, name, stored=substring_dedup.stored):
+        if name == "repeats":
+            rows.collect()
+            plans[name] = rows._jdf.queryExecution().executedPlan().toString()
+        return stored(rows, name)
+    monkeypatch.setattr(substring_dedup, "stored", watched)
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    with conf_for(spark, conf):
+        got = {r.doc_id: r.text.split("\n") for r in substring_dedup.dedup_documents(df).collect()}
+    assert "skew=true" in plans["repeats"]
+    assert all(got[i][0] == f"own{i} words{i} here{i}" and not any(got[i][1:]) for i in range(1, 400))
+
+
 def test_equal_texts_with_both_labels_give_one_model(spark):
     rng = random.Random(9)
     rows = [(i, f"{rng.choice(['vile', 'rotten', 'calm', 'kind'])} {rng.choice(WORDS[:6])} {rng.choice(['women', 'immigrants', 'x'])}") for i in range(1200)]
